@@ -10,9 +10,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.plans import marts
+from tillroll.plans import coverage, dashboard, marts
 from tillroll.session import checkpoint_dir
-from tillroll.sources.fixture import fixture_sales
+from tillroll.sources.fixture import STUDY_YEAR, fixture_sales
+
+PERIOD = (f"{STUDY_YEAR}-01-01", f"{STUDY_YEAR}-12-31")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,7 +36,30 @@ def _mart_queries() -> dict[str, Query]:
     }
 
 
+def _coverage_queries() -> dict[str, Query]:
+    return {
+        "load_overview": lambda s, d: coverage.load_overview(_sales(s, d)),
+        "rows_per_day": lambda s, d: coverage.rows_per_day(_sales(s, d)),
+        "missing_dates": lambda s, d: coverage.missing_dates(_sales(s, d)),
+    }
+
+
+def _dashboard_queries() -> dict[str, Query]:
+    def abc(s, d):
+        return marts.product_abc_xyz(marts.product_monthly_sales(_sales(s, d)))
+    return {
+        "kpis": lambda s, d: dashboard.kpis(_sales(s, d), *PERIOD),
+        "sales_dynamics": lambda s, d: dashboard.sales_dynamics(marts.daily_sales(_sales(s, d)), "month"),
+        "client_activity": lambda s, d: dashboard.client_activity(_sales(s, d), "month"),
+        "segment_breakdown": lambda s, d: dashboard.segment_breakdown(marts.customer_rfm(_sales(s, d))),
+        "class_breakdown": lambda s, d: dashboard.class_breakdown(abc(s, d)),
+        "top_products": lambda s, d: dashboard.top_products(abc(s, d), 10),
+    }
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_mart_queries())
+    out.update(_coverage_queries())
+    out.update(_dashboard_queries())
     return out
