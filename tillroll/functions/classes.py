@@ -76,4 +76,4 @@ def rfm_segment_study(rf_code: Column) -> Column:
 
 def class_ordinal(c: Column, order=CLASS_ORDER) -> Column:
     """1-based position of a class in the fixed report order (0 if absent)."""
-    return F.array_position(F.array(*[F.lit(x) for x in order]), c)
+    return F.array_position(F.array(*[F.lit(x) for x in order]), c).cast("int")

@@ -10,9 +10,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll.plans import assortment as A
 from tillroll.plans import coverage, dashboard, marts
+from tillroll.plans import customers as C
 from tillroll.session import checkpoint_dir
-from tillroll.sources.fixture import STUDY_YEAR, fixture_sales
+from tillroll.sources.fixture import STUDY_ANALYSIS_DATE, STUDY_YEAR, fixture_sales
 
 PERIOD = (f"{STUDY_YEAR}-01-01", f"{STUDY_YEAR}-12-31")
 
@@ -57,9 +59,70 @@ def _dashboard_queries() -> dict[str, Query]:
     }
 
 
+def _year(s, d):
+    return A.read_year(_sales(s, d), STUDY_YEAR)
+
+
+def _profile(s, d):
+    return A.product_profile(_year(s, d))
+
+
+def _abc(s, d):
+    return A.abc_profile(_profile(s, d))
+
+
+def _xyz(s, d):
+    return A.xyz_profile(_year(s, d), STUDY_YEAR)
+
+
+def _abc_xyz(s, d):
+    return A.abc_xyz_profile(_abc(s, d), _xyz(s, d))
+
+
+def _response(s, d):
+    return A.discount_response(A.product_month_discount(_year(s, d)), _abc_xyz(s, d))
+
+
+def _clients(s, d):
+    return C.client_profile(_year(s, d), STUDY_ANALYSIS_DATE)
+
+
+def _study_queries() -> dict[str, Query]:
+    return {
+        "product_profile": _profile,
+        "assortment_summary": lambda s, d: A.assortment_summary(_profile(s, d)),
+        "describe_products": lambda s, d: A.describe_products(_profile(s, d)),
+        "abc_profile": _abc,
+        "abc_summary": lambda s, d: A.abc_summary(_abc(s, d)),
+        "monthly_demand_pivot": lambda s, d: A.monthly_demand_pivot(_year(s, d), STUDY_YEAR),
+        "xyz_profile": _xyz,
+        "xyz_classic_counts": lambda s, d: A.xyz_classic_counts(_xyz(s, d)),
+        "xyz_summary": lambda s, d: A.xyz_summary(_xyz(s, d)),
+        "cv_histogram": lambda s, d: A.cv_histogram(_xyz(s, d)),
+        "describe_cv": lambda s, d: A.describe_cv(_xyz(s, d)),
+        "abc_xyz_profile": _abc_xyz,
+        "abc_xyz_summary": lambda s, d: A.abc_xyz_summary(_abc_xyz(s, d)),
+        "abc_xyz_matrix": lambda s, d: A.abc_xyz_matrix(A.abc_xyz_summary(_abc_xyz(s, d))),
+        "product_month_discount": lambda s, d: A.product_month_discount(_year(s, d)),
+        "discount_response": _response,
+        "discount_summary": lambda s, d: A.discount_summary(_response(s, d)),
+        "discount_means": lambda s, d: A.discount_means(_response(s, d)),
+        "describe_uplift": lambda s, d: A.describe_uplift(_response(s, d)),
+        "client_profile": _clients,
+        "client_checks": lambda s, d: C.client_checks(_clients(s, d)),
+        "describe_clients": lambda s, d: C.describe_clients(_clients(s, d)),
+        "frequency_profile": lambda s, d: C.frequency_profile(_clients(s, d)),
+        "client_pareto": lambda s, d: C.client_pareto(_clients(s, d)),
+        "pareto_summary": lambda s, d: C.pareto_summary(_clients(s, d)),
+        "rfm_study": lambda s, d: C.rfm_study(_clients(s, d)),
+        "rfm_profile": lambda s, d: C.rfm_profile(C.rfm_study(_clients(s, d))),
+    }
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_mart_queries())
     out.update(_coverage_queries())
     out.update(_dashboard_queries())
+    out.update(_study_queries())
     return out
