@@ -9,12 +9,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll.plans import assortment as A
 from tillroll.plans import coverage, dashboard, marts
 from tillroll.plans import customers as C
 from tillroll.session import checkpoint_dir
-from tillroll.sources.fixture import STUDY_ANALYSIS_DATE, STUDY_YEAR, fixture_sales
+from tillroll.functions.dates import day_series
+from tillroll.plans import ingest
+from tillroll.sources.batches import validate_batches
+from tillroll.sources.fixture import (LOADED_BEFORE, STUDY_ANALYSIS_DATE, STUDY_YEAR, fixture_records,
+                                      fixture_sales)
+from tillroll.sources.sales_table import assert_unique, existing_dates
 
 PERIOD = (f"{STUDY_YEAR}-01-01", f"{STUDY_YEAR}-12-31")
 
@@ -119,10 +125,50 @@ def _study_queries() -> dict[str, Query]:
     }
 
 
+def _validated(s, d):
+    return validate_batches(fixture_records(s, d))
+
+
+def _ingest_status(s, d):
+    sales = _sales(s, d)
+    bounds = sales.agg(F.min("purchase_date").alias("a"), F.max("purchase_date").alias("b"))
+    requested = bounds.select(F.explode(day_series(F.col("a"), F.col("b"))).alias("batch_date"))
+    loaded = existing_dates(sales.where(F.col("purchase_date") < F.lit(LOADED_BEFORE).cast("date")))
+    return ingest.plan_ingest(requested, loaded, _validated(s, d)[2])
+
+
+def _key_contract(s, d):
+    sales = _sales(s, d)
+    monthly = marts.product_monthly_sales(sales)
+    specs = [("daily_sales", marts.daily_sales(sales), ["purchase_date"]),
+             ("product_monthly_sales", monthly, ["month_start", "product_id"]),
+             ("customer_rfm", marts.customer_rfm(sales), ["client_id"]),
+             ("product_abc_xyz", marts.product_abc_xyz(monthly), ["product_id"])]
+    out = None
+    for name, df, keys in specs:
+        row = df.agg(F.count(F.lit(1)).alias("rows")).crossJoin(
+            assert_unique(df, keys).agg(F.count(F.lit(1)).alias("duplicate_keys")))
+        row = row.select(F.lit(name).alias("mart"), "rows", "duplicate_keys")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def _ingest_queries() -> dict[str, Query]:
+    return {
+        "validate_batches": lambda s, d: _validated(s, d)[2],
+        "quarantine": lambda s, d: _validated(s, d)[1],
+        "ingest_status": _ingest_status,
+        "backfill_summary": lambda s, d: ingest.run_summary(_ingest_status(s, d)),
+        "existing_dates": lambda s, d: existing_dates(_sales(s, d)),
+        "key_contract": _key_contract,
+    }
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_mart_queries())
     out.update(_coverage_queries())
     out.update(_dashboard_queries())
     out.update(_study_queries())
+    out.update(_ingest_queries())
     return out

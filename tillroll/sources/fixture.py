@@ -52,3 +52,46 @@ def fixture_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     keep = ["sale_id", "client_id", "gender", "purchase_date", "purchase_time_seconds",
             "product_id", "quantity"]
     return inner.select(*keep, *[F.expr(e).alias(n) for n, e in _OUTER])
+
+
+# --- fixed values: defects injected into the derived API records ------------
+# (every rule is a property of the row, so the expected verdicts are plain SQL)
+MISSING_GENDER_DAY_OF_YEAR = 100      # the whole date lacks the gender field
+BAD_DATETIME_MOD = 5003               # unparseable purchase_datetime
+NEXT_DAY_MOD = 3001                   # purchase_datetime on the following day
+BAD_TIME_MOD = 2003                   # time of day 86400
+BAD_QUANTITY_MOD = 7001               # quantity 40000 (outside SMALLINT)
+BAD_TOTAL_MOD = 1009                  # total_price off by 0.01
+LOADED_BEFORE = "1996-01-01"          # dates before this are already in the table
+# ---------------------------------------------------------------------------
+
+
+def _hms(t):
+    two = lambda c: F.lpad(c.cast("string"), 2, "0")
+    return F.concat_ws(":", two(F.floor(t / 3600)), two(F.floor(t % 3600 / 60)), two(t % 60))
+
+
+def fixture_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixture sales as landed API records (batch_date, file, pos, rec
+    map<string,string>) with rule-based defects; every sale becomes a record."""
+    s = fixture_sales(spark, sf_dir)
+    sid = F.col("sale_id")
+    day = F.col("purchase_date")
+    shown_day = (F.when(sid % NEXT_DAY_MOD == 0, F.date_add(day, 1)).otherwise(day)).cast("string")
+    dt_text = F.when(sid % BAD_DATETIME_MOD == 0, F.lit("not-a-date")) \
+        .otherwise(F.concat_ws(" ", shown_day, _hms(F.col("purchase_time_seconds"))))
+    t = F.when(sid % BAD_TIME_MOD == 0, F.lit(86400)).otherwise(F.col("purchase_time_seconds"))
+    qty = F.when(sid % BAD_QUANTITY_MOD == 0, F.lit(40000)).otherwise(F.col("quantity"))
+    total = F.when(sid % BAD_TOTAL_MOD == 0, F.col("total_price") + F.lit(0.01).cast("decimal(3,2)")) \
+        .otherwise(F.col("total_price")).cast("decimal(16,2)")
+    pairs = [
+        ("client_id", F.col("client_id")), ("gender", F.col("gender")), ("purchase_datetime", dt_text),
+        ("purchase_time_as_seconds_from_midnight", t), ("product_id", F.col("product_id")),
+        ("quantity", qty), ("price_per_item", F.col("price_per_item")),
+        ("discount_per_item", F.col("discount_per_item")), ("total_price", total),
+    ]
+    rec = F.create_map(*[x for k, v in pairs for x in (F.lit(k), v.cast("string"))])
+    no_gender = F.dayofyear(day) == MISSING_GENDER_DAY_OF_YEAR
+    rec = F.when(no_gender, F.map_filter(rec, lambda k, v: k != F.lit("gender"))).otherwise(rec)
+    return s.select(day.alias("batch_date"), F.lit("derived").alias("file"),
+                    sid.alias("pos"), rec.alias("rec"))
