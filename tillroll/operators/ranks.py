@@ -119,6 +119,10 @@ def _bucket_expr(keys: list[Key], cuts: list[tuple]) -> Column:
 
 
 def bucket_count(n: int) -> int:
+    """One sorted task up to ROWS_PER_BUCKET rows (size known from a count),
+    otherwise about ROWS_PER_BUCKET rows per bucket, capped."""
+    if n <= ROWS_PER_BUCKET:
+        return 1
     return max(MIN_BUCKETS, min(MAX_BUCKETS, math.ceil(n / ROWS_PER_BUCKET)))
 
 
@@ -154,13 +158,24 @@ def global_prefix(df: DataFrame, keys: list[Key], sum_cols: list[str] = (),
     if materialize:
         df = df.checkpoint(eager=True)
     n = df.count()
-    bucketed = range_buckets(df, keys, n, n_buckets)
+    b = n_buckets or bucket_count(n)
+    bucketed = range_buckets(df, keys, n, b)
 
     w = Window.partitionBy("_bucket").orderBy(*[k.sort_col() for k in keys])
     frame = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = bucketed.withColumn("_local_rn", F.row_number().over(w))
     for c in sum_cols:
         local = local.withColumn(f"_local_{c}", F.sum(c).over(frame))
+    if b <= 1:
+        # n is at most ROWS_PER_BUCKET (counted above): one sorted task, no offsets.
+        whole = Window.partitionBy("_bucket")
+        cols = [F.col(c) for c in df.columns]
+        cols.append(F.col("_local_rn").cast("bigint").alias(row_no))
+        cols.append(F.lit(n).cast("bigint").alias(n_rows))
+        for c in sum_cols:
+            cols.append(F.coalesce(F.col(f"_local_{c}"), F.lit(0)).alias(f"{running}{c}"))
+            cols.append(F.sum(c).over(whole).alias(f"{total}{c}"))
+        return local.select(*cols)
 
     totals = bucketed.groupBy("_bucket").agg(
         F.count(F.lit(1)).alias("_b_cnt"), *[F.sum(c).alias(f"_b_{c}") for c in sum_cols])
@@ -184,12 +199,13 @@ def global_prefix(df: DataFrame, keys: list[Key], sum_cols: list[str] = (),
 
 
 def cume_counts(df: DataFrame, value: str, out: str, ascending: bool = True,
-                nulls_last: bool | None = None, n_buckets: int | None = None) -> DataFrame:
+                nulls_last: bool | None = None, n_buckets: int | None = None,
+                materialize: bool = True) -> DataFrame:
     """Add ``out`` = number of rows whose value sorts at or before this row's
     (the numerator of CUME_DIST).  Works on distinct values, so heavy ties
     cost one row each; the distinct table joins back on the value."""
     counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_cnt"))
-    pref = global_prefix(counts, [Key(value, ascending, nulls_last)], ["_cnt"], n_buckets)
+    pref = global_prefix(counts, [Key(value, ascending, nulls_last)], ["_cnt"], n_buckets, materialize)
     lookup = pref.select(F.col(value).alias("_v"), F.col("running__cnt").alias(out))
     joined = df.join(lookup, df[value].eqNullSafe(lookup["_v"]), "left")
     return joined.drop("_v")
