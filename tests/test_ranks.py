@@ -60,3 +60,16 @@ def test_exact_percentiles_match_numpy(spark):
         for p in pcts:
             name = f"p{int(round(p * 100)):02d}"
             assert abs(float(getattr(got[g], name)) - np.percentile(vals, p * 100)) < 1e-9
+
+
+def test_cume_counts_many_equal_cume_dist(spark):
+    from tillroll.operators.ranks import cume_counts_many
+    df = _data(spark, 1500, seed=13).withColumn("m", (F.col("x") * 3 + 7) % 11 / 4)
+    n = df.count()
+    got = cume_counts_many(df, ["v", "x", "m"], ["le_v", "le_x", "le_m"], n, n_buckets=6)
+    exp = df.select("id", *[F.cume_dist().over(Window.orderBy(F.col(c).asc_nulls_last())).alias(f"cd_{c}")
+                            for c in ("v", "x", "m")])
+    j = got.join(exp, "id")
+    for c in ("v", "x", "m"):
+        bad = j.where(F.abs(F.col(f"le_{c}") / F.lit(n) - F.col(f"cd_{c}")) > 1e-12).count()
+        assert bad == 0, c

@@ -151,13 +151,16 @@ def range_buckets(df: DataFrame, keys: list[Key], n: int, n_buckets: int | None
 def global_prefix(df: DataFrame, keys: list[Key], sum_cols: list[str] = (),
                   n_buckets: int | None = None, materialize: bool = True,
                   row_no: str = "row_no", n_rows: str = "n_rows",
-                  running: str = "running_", total: str = "total_") -> DataFrame:
+                  running: str = "running_", total: str = "total_", n: int | None = None) -> DataFrame:
     """Add ``row_no`` (1-based position in the order), ``n_rows``, and for
     each column c of ``sum_cols``: ``running_c`` (sum from the first row to
-    this one) and ``total_c`` (sum over the whole table)."""
+    this one) and ``total_c`` (sum over the whole table).
+
+    ``n``: the row count when the caller already knows it (skips a job)."""
     if materialize:
         df = df.checkpoint(eager=True)
-    n = df.count()
+    if n is None:
+        n = df.count()
     b = n_buckets or bucket_count(n)
     bucketed = range_buckets(df, keys, n, b)
 
@@ -211,6 +214,30 @@ def cume_counts(df: DataFrame, value: str, out: str, ascending: bool = True,
     return joined.drop("_v")
 
 
+def cume_counts_many(df: DataFrame, values: list[str], outs: list[str], n: int,
+                     n_buckets: int | None = None) -> DataFrame:
+    """``cume_counts`` for several columns with one ordering pass.
+
+    The (column index, value) pairs of all columns are counted together and
+    put in one order; column k's pairs follow the n rows of columns 0..k-1,
+    so its at-or-before count is the running count minus k·n.  The small
+    distinct table is checkpointed and joined back once per column (AQE
+    broadcasts the joins whose side is small at run time)."""
+    vtype = "decimal(38,6)"
+    pairs = F.array(*[F.struct(F.lit(i).alias("_k"), F.col(v).cast(vtype).alias("_v"))
+                      for i, v in enumerate(values)])
+    counts = (df.select(F.explode(pairs).alias("_p")).select("_p._k", "_p._v")
+              .groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_cnt")))
+    pref = global_prefix(counts, [asc("_k"), asc("_v")], ["_cnt"], n_buckets)
+    pref = pref.select("_k", "_v", (F.col("running__cnt") - F.col("_k") * F.lit(n)).alias("_le")) \
+        .checkpoint(eager=True)
+    out = df
+    for i, (v, o) in enumerate(zip(values, outs)):
+        look = pref.where(F.col("_k") == i).select(F.col("_v").alias(f"_v{i}"), F.col("_le").alias(o))
+        out = out.join(look, out[v].cast(vtype).eqNullSafe(look[f"_v{i}"]), "left").drop(f"_v{i}")
+    return out
+
+
 def quantile_score(rank_no: Column, n: Column, q: int = 5) -> Column:
     """Bin 1..q of a 1-based rank among n by equal-width cuts of 1..n
     (right-closed, first bin closed on the left): max(1, ceil(q(rank-1)/(n-1)))."""

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tillroll.functions.classes import abc_class, rfm_segment_mart, xyz_class
 from tillroll.functions.numeric import (INT, as_int, avg_half_up, cents, int_div,
                                         ratio_half_up, sqrt_half_up)
-from tillroll.operators.ranks import asc, cume_counts, desc, global_prefix
+from tillroll.operators.ranks import asc, cume_counts_many, desc, global_prefix
 from tillroll.schema import ABC_A, ABC_B, XYZ_MART_X, XYZ_MART_Y
 
 D20 = "decimal(20,2)"
@@ -113,12 +113,10 @@ def _ceil_fifths(count_le: Column, n: Column) -> Column:
 
 def customer_rfm(sales: DataFrame, n_buckets: int | None = None) -> DataFrame:
     metrics = customer_metrics(sales)
-    n = F.lit(metrics.count())
-    # The distinct-value tables come from the checkpointed metrics: cheap to
-    # recompute, so they are not checkpointed again.
-    ranked = cume_counts(metrics, "recency_days", "_le_r", n_buckets=n_buckets, materialize=False)
-    ranked = cume_counts(ranked, "frequency", "_le_f", n_buckets=n_buckets, materialize=False)
-    ranked = cume_counts(ranked, "monetary", "_le_m", n_buckets=n_buckets, materialize=False)
+    n_clients = metrics.count()
+    n = F.lit(n_clients)
+    ranked = cume_counts_many(metrics, ["recency_days", "frequency", "monetary"], ["_le_r", "_le_f", "_le_m"],
+                              n_clients, n_buckets)
     r = (F.lit(6) - _ceil_fifths(F.col("_le_r"), n)).cast("smallint")
     f = _ceil_fifths(F.col("_le_f"), n)
     m = _ceil_fifths(F.col("_le_m"), n)
@@ -206,7 +204,11 @@ def product_abc_xyz(monthly: DataFrame, n_buckets: int | None = None) -> DataFra
                  ratio_half_up(cents(F.col("stddev_monthly_units")), cents(F.col("avg_monthly_units")),
                                4, precision=12))
 
-    by_revenue = global_prefix(metrics, [desc("revenue"), asc("product_id")], ["revenue"], n_buckets)
+    metrics = metrics.checkpoint(eager=True)
+    n = metrics.count()
+    # Both orders run over the checkpointed product table with its known size.
+    by_revenue = global_prefix(metrics, [desc("revenue"), asc("product_id")], ["revenue"], n_buckets,
+                               materialize=False, n=n)
     shares = by_revenue.select(
         *metrics.columns,
         ratio_half_up(cents(F.col("revenue")), cents(F.col("total_revenue")), 8, precision=12)
@@ -214,7 +216,8 @@ def product_abc_xyz(monthly: DataFrame, n_buckets: int | None = None) -> DataFra
         ratio_half_up(cents(F.col("running_revenue")), cents(F.col("total_revenue")), 8, precision=12)
         .alias("cumulative_revenue_share"),
     )
-    by_cv = global_prefix(shares, [asc("variation_coefficient"), asc("product_id")], [], n_buckets)
+    by_cv = global_prefix(shares, [asc("variation_coefficient"), asc("product_id")], [], n_buckets,
+                          materialize=False, n=n)
     ranked = by_cv.withColumn("stability_percentile",
                               ratio_half_up(F.col("row_no"), F.col("n_rows"), 8, precision=12))
     abc = abc_class(F.col("cumulative_revenue_share"), Decimal(str(ABC_A)), Decimal(str(ABC_B)))
