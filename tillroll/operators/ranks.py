@@ -32,7 +32,7 @@ from tillroll.functions.numeric import INT, int_div, ratio_half_up
 
 ROWS_PER_BUCKET = 1_000_000
 MIN_BUCKETS = 8
-MAX_BUCKETS = 1024
+MAX_BUCKETS = 256  # binary-search CASE over 255 cut tuples still compiles to Java code
 SAMPLE_PER_BUCKET = 100
 
 

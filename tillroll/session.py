@@ -26,6 +26,8 @@ def get_spark(master: str = "local[8]", app: str = "tillroll",
         .config("spark.driver.memory", "16g")
         # MIN/MAX/COUNT without filters are answered from Parquet footers.
         .config("spark.sql.parquet.aggregatePushdown", "true")
+        # Checkpoint files of collected DataFrames are removed, not left to grow.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master.startswith("local"):
         # One machine, local disk: listing the date folders on the driver is
