@@ -78,6 +78,20 @@ def exact_percentiles(df: DataFrame, value: str, pcts: list[float], group_cols:
     return g.select(*out)
 
 
+def medians_by(df: DataFrame, group_cols: list[str], cols: list[str], vtype: str,
+               names: list[str] | None = None, p: float = 0.5, n_buckets: int | None = None) -> DataFrame:
+    """Exact percentile ``p`` of several columns per group in one ranking pass:
+    the columns are stacked as (metric, value), ranked once with the metric as
+    an extra group key, and pivoted back (one column per input column)."""
+    names = names or [f"median_{c}" for c in cols]
+    stacked = df.select(*group_cols, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_metric"), F.col(c).cast(vtype).alias("_value")) for i, c in enumerate(cols)
+    ])).alias("_s")).select(*group_cols, "_s._metric", "_s._value")
+    q = exact_percentiles(stacked, "_value", [p], list(group_cols) + ["_metric"], names=["_q"], n_buckets=n_buckets)
+    return q.groupBy(*group_cols).agg(*[F.max(F.when(F.col("_metric") == i, F.col("_q"))).alias(n)
+                                       for i, n in enumerate(names)])
+
+
 def to_decimal_long(df: DataFrame, cols: list[str], scale: int = 6) -> DataFrame:
     """Unpivot numeric columns to (column, value DECIMAL(38,scale))."""
     typed = df.select(*[F.col(c).cast(f"decimal(38,{scale})").alias(c) for c in cols])

@@ -18,7 +18,7 @@ from tillroll.functions.dates import in_year
 from tillroll.functions.numeric import (INT, as_int, cents, int_div, ratio_half_up, scale_down,
                                         sqrt_half_up, unscaled)
 from tillroll.operators.ranks import asc, desc, global_prefix
-from tillroll.operators.stats import describe_long, exact_percentiles
+from tillroll.operators.stats import describe_long, exact_percentiles, medians_by
 from tillroll.plans.marts import D20, with_amounts
 from tillroll.schema import (ABC_A, ABC_B, DESCRIBE_PCTS, DESCRIBE_PCTS_SHORT, XYZ_CLASSIC_X,
                              XYZ_CLASSIC_Y)
@@ -78,9 +78,9 @@ def assortment_summary(profile: DataFrame) -> DataFrame:
         F.sum("gross_revenue").alias("_gross"),
         F.count_if(F.col("active_months") == 12).alias("products_active_12_months"),
     )
-    med_sales = exact_percentiles(profile, "sales_count", [0.5], names=["median_sales_per_product"])
-    med_rev = exact_percentiles(profile, "revenue", [0.5], names=["median_revenue_per_product"])
-    out = g.crossJoin(med_sales).crossJoin(med_rev)
+    med = medians_by(profile, [], ["sales_count", "revenue"], "decimal(20,2)",
+                     ["median_sales_per_product", "median_revenue_per_product"])
+    out = g.crossJoin(F.broadcast(med))
     return out.select(
         "products", "sales_count", "units_sold", "revenue", "discount_amount",
         ratio_half_up(cents(F.col("discount_amount")), cents(F.col("_gross")), R6, 100)
@@ -338,10 +338,10 @@ def discount_summary(resp: DataFrame) -> DataFrame:
         F.count_if(F.col("units_uplift_pct") > 0).alias("_pos"),
         F.count(F.lit(1)).alias("_n"),
     )
-    med = exact_percentiles(resp, "discount_gap_pp", [0.5], ["abc_xyz_class"], names=["median_discount_gap_pp"])
-    mu = exact_percentiles(resp, "units_uplift_pct", [0.5], ["abc_xyz_class"], names=["median_units_uplift_pct"])
-    ms = exact_percentiles(resp, "sales_uplift_pct", [0.5], ["abc_xyz_class"], names=["median_sales_uplift_pct"])
-    g = g.join(med, "abc_xyz_class", "left").join(mu, "abc_xyz_class", "left").join(ms, "abc_xyz_class", "left")
+    med = medians_by(resp, ["abc_xyz_class"], ["discount_gap_pp", "units_uplift_pct", "sales_uplift_pct"],
+                     f"decimal(24,{R6})",
+                     ["median_discount_gap_pp", "median_units_uplift_pct", "median_sales_uplift_pct"])
+    g = g.join(med, "abc_xyz_class", "left")
     d7 = f"decimal(38,{R6 + 1})"
     return g.select(
         "abc_xyz_class", class_ordinal(F.col("abc_xyz_class")).alias("class_order"), "products",
@@ -357,9 +357,9 @@ def discount_means(resp: DataFrame) -> DataFrame:
         F.sum(unscaled(F.col("sales_uplift_pct"), R6)).alias("_s"),
         F.count("sales_uplift_pct").alias("_n"),
     )
-    ms = exact_percentiles(resp, "sales_uplift_pct", [0.5], ["abc_xyz_class"], names=["_ms"])
-    mu = exact_percentiles(resp, "units_uplift_pct", [0.5], ["abc_xyz_class"], names=["_mu"])
-    g = g.join(ms, "abc_xyz_class", "left").join(mu, "abc_xyz_class", "left")
+    med = medians_by(resp, ["abc_xyz_class"], ["sales_uplift_pct", "units_uplift_pct"], f"decimal(24,{R6})",
+                     ["_ms", "_mu"])
+    g = g.join(med, "abc_xyz_class", "left")
     return g.select(
         "abc_xyz_class",
         F.round(F.col("_ms"), 4).cast("decimal(38,4)").alias("median_sales_uplift_pct"),
