@@ -117,3 +117,18 @@ def test_daily_load_refreshes_marts(spark, scratch):
         assert assert_unique(spark.read.parquet(f"{marts}/{name}"), keys[name]).count() == 0
     # two months (March, April): one complete month before the last -> every product ranked
     assert spark.read.parquet(f"{marts}/product_abc_xyz").count() == 2
+
+
+def test_cli_backfill_and_refresh(spark, scratch, capsys):
+    from tillroll.__main__ import main
+    landing, sales_path, marts = f"{scratch}/landing", f"{scratch}/sales", f"{scratch}/marts"
+    for d in ("2024-07-01", "2024-07-02", "2024-08-01"):
+        land(landing, d, [day_rec(d, client=c) for c in (1, 2, 3)])
+    main(["backfill", "--landing", landing, "--sales", sales_path, "--start", "2024-07-01", "--end", "2024-07-03"])
+    assert read_sales(spark, sales_path).count() == 6
+    main(["daily", "--landing", landing, "--sales", sales_path, "--marts", marts, "--as-of", "2024-08-02"])
+    assert read_sales(spark, sales_path).count() == 9
+    main(["refresh", "--sales", sales_path, "--marts", marts, "--months", "2024-08-01"])
+    assert spark.read.parquet(f"{marts}/daily_sales").count() == 3
+    out = capsys.readouterr().out
+    assert "loaded_days" in out
