@@ -36,6 +36,9 @@ def test_query_matches_oracle(spark, con, name):
     d_rows, d_cols = rows_of([d[0] for d in cur.description], cur.fetchall())
     assert s_cols == d_cols
     assert sorted(s_rows, key=str) == sorted(d_rows, key=str)
+    # decimals are handed over as DOUBLE on both sides
+    assert not any(f.dataType.typeName() == "decimal" for f in df.schema.fields)
+    assert not any(str(d[1]).startswith("DECIMAL") for d in cur.description)
 
 
 def test_entry_smoke(spark):

@@ -164,6 +164,19 @@ def _ingest_queries() -> dict[str, Query]:
     }
 
 
+def decimals_to_double(df: DataFrame) -> DataFrame:
+    """Registry boundary: exact DECIMAL results are handed over as DOUBLE (the
+    same conversion on both sides of the oracle check), so value comparison
+    does not depend on how each engine exposes decimals."""
+    from pyspark.sql.types import DecimalType
+    return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType)
+                       else F.col(f.name) for f in df.schema.fields])
+
+
+def _boundary(fn: Query) -> Query:
+    return lambda s, d: decimals_to_double(fn(s, d))
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_mart_queries())
@@ -171,4 +184,4 @@ def all_queries() -> dict[str, Query]:
     out.update(_dashboard_queries())
     out.update(_study_queries())
     out.update(_ingest_queries())
-    return out
+    return {k: _boundary(v) for k, v in out.items()}
