@@ -43,7 +43,7 @@ def main(argv: list[str] | None = None) -> None:
     from tillroll.plans import ingest
     from tillroll.plans.marts import refresh_marts
     from tillroll.session import checkpoint_dir, get_spark
-    from tillroll.sources.sales_table import read_sales
+    from tillroll.sources.sales_table import partition_dates, read_sales
 
     active = SparkSession.getActiveSession()
     spark = active or get_spark()
@@ -57,7 +57,8 @@ def main(argv: list[str] | None = None) -> None:
         status.where("status = 'failed'").show(50, truncate=False)
     elif args.cmd == "refresh":
         months = [dt.date.fromisoformat(m) for m in args.months] if args.months else None
-        print(refresh_marts(read_sales(spark, args.sales), args.marts, months=months))
+        print(refresh_marts(read_sales(spark, args.sales), args.marts, months=months,
+                            all_dates=partition_dates(spark, args.sales)))
     else:
         from tillroll.streaming.intake import start_intake
         q = start_intake(spark, args.landing, args.sales, args.marts, args.checkpoint, args.format)

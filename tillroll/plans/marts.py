@@ -70,49 +70,93 @@ def product_monthly_sales(sales: DataFrame) -> DataFrame:
     return g
 
 
-def customer_metrics(sales: DataFrame, analysis_date=None, materialize: bool = True) -> DataFrame:
-    """One row per client; recency against the latest sale date (or a given date).
-
-    The client aggregate is checkpointed once: the latest date is read from
-    it, so the fact is scanned a single time (two branches of one aggregate
-    with different column pruning would each scan it)."""
-    g = sales.groupBy("client_id").agg(
-        F.min("gender").alias("_gmin"),
-        F.max("gender").alias("_gmax"),
+def client_aggregates(sales: DataFrame) -> DataFrame:
+    """Mergeable per-client totals: gender min/max, first/last date, rows,
+    distinct days, units, revenue.  Two loads of disjoint dates merge by
+    min/max/sum (``merge_client_aggregates``)."""
+    return sales.groupBy("client_id").agg(
+        F.min("gender").alias("gender_min"),
+        F.max("gender").alias("gender_max"),
         F.min("purchase_date").alias("first_purchase_date"),
         F.max("purchase_date").alias("last_purchase_date"),
-        F.count(F.lit(1)).cast("int").alias("frequency"),
-        F.count_distinct("purchase_date").cast("int").alias("active_days"),
-        F.sum("quantity").cast("bigint").alias("units_purchased"),
-        F.sum("total_price").alias("_rev"),
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("purchase_date").alias("days"),
+        F.sum("quantity").cast("bigint").alias("units"),
+        F.sum("total_price").cast("decimal(38,2)").alias("revenue"),
     )
-    if materialize:
-        g = g.checkpoint(eager=True)
+
+
+def merge_client_aggregates(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Combine the totals of two sets of disjoint dates (one outer join on
+    the client key; both sides are one row per client)."""
+    o, n = old.alias("o"), new.alias("n")
+    j = o.join(n, F.col("o.client_id") == F.col("n.client_id"), "full")
+
+    def both(c, fn):
+        return fn(F.col(f"o.{c}"), F.col(f"n.{c}"))
+
+    def add(c):
+        return F.coalesce(F.col(f"o.{c}"), F.lit(0)) + F.coalesce(F.col(f"n.{c}"), F.lit(0))
+
+    return j.select(
+        F.coalesce(F.col("o.client_id"), F.col("n.client_id")).alias("client_id"),
+        both("gender_min", F.least).alias("gender_min"),
+        both("gender_max", F.greatest).alias("gender_max"),
+        both("first_purchase_date", F.least).alias("first_purchase_date"),
+        both("last_purchase_date", F.greatest).alias("last_purchase_date"),
+        add("rows").cast("bigint").alias("rows"),
+        add("days").cast("bigint").alias("days"),
+        add("units").cast("bigint").alias("units"),
+        add("revenue").cast("decimal(38,2)").alias("revenue"),
+    )
+
+
+def metrics_from_aggregates(agg: DataFrame, analysis_date=None) -> DataFrame:
+    """customer_metrics columns from client totals; recency against the
+    latest last date (a pass over the client table) or a given date."""
     if analysis_date is None:
-        # The latest sale date is the latest client last-date: a pass over
-        # the (much smaller) client table.
-        params = g.agg(F.max("last_purchase_date").alias("analysis_date"))
+        params = agg.agg(F.max("last_purchase_date").alias("analysis_date"))
     else:
-        params = g.sparkSession.range(1).select(F.lit(analysis_date).cast("date").alias("analysis_date"))
-    g = g.crossJoin(F.broadcast(params))
+        params = agg.sparkSession.range(1).select(F.lit(analysis_date).cast("date").alias("analysis_date"))
+    g = agg.crossJoin(F.broadcast(params))
     return g.select(
         "client_id",
-        F.when(F.col("_gmin") == F.col("_gmax"), F.col("_gmin")).otherwise(F.lit("Mixed")).alias("gender"),
+        F.when(F.col("gender_min") == F.col("gender_max"), F.col("gender_min")).otherwise(F.lit("Mixed"))
+        .alias("gender"),
         "analysis_date", "first_purchase_date", "last_purchase_date",
         F.datediff("analysis_date", "last_purchase_date").cast("int").alias("recency_days"),
-        "frequency", "active_days", "units_purchased",
-        F.col("_rev").cast(D20).alias("monetary"),
-        avg_half_up(cents(F.col("_rev")), F.col("frequency"), 2, 2).alias("avg_sale_amount"),
+        F.col("rows").cast("int").alias("frequency"),
+        F.col("days").cast("int").alias("active_days"),
+        F.col("units").cast("bigint").alias("units_purchased"),
+        F.col("revenue").cast(D20).alias("monetary"),
+        avg_half_up(cents(F.col("revenue")), F.col("rows"), 2, 2).alias("avg_sale_amount"),
     )
 
 
+def customer_metrics(sales: DataFrame, analysis_date=None, materialize: bool = True) -> DataFrame:
+    """One row per client; recency against the latest sale date (or a given date).
+
+    The client totals are checkpointed once: the latest date is read from
+    them, so the fact is scanned a single time (two branches of one aggregate
+    with different column pruning would each scan it)."""
+    agg = client_aggregates(sales)
+    if materialize:
+        agg = agg.checkpoint(eager=True)
+    return metrics_from_aggregates(agg, analysis_date)
+
+
 def _ceil_fifths(count_le: Column, n: Column) -> Column:
     """ceil(5 * count_le / n) in integers (= ceil(cume_dist * 5))."""
     return int_div(as_int(count_le) * 5 + as_int(n) - 1, as_int(n)).cast("smallint")
 
 
 def customer_rfm(sales: DataFrame, n_buckets: int | None = None) -> DataFrame:
-    metrics = customer_metrics(sales)
+    return rfm_from_metrics(customer_metrics(sales), n_buckets)
+
+
+def rfm_from_metrics(metrics: DataFrame, n_buckets: int | None = None) -> DataFrame:
+    """Quintile scores by CUME_DIST of recency (reversed), frequency and
+    monetary, the 3-digit code and the segment ladder."""
     n_clients = metrics.count()
     n = F.lit(n_clients)
     ranked = cume_counts_many(metrics, ["recency_days", "frequency", "monetary"], ["_le_r", "_le_f", "_le_m"],
@@ -265,16 +309,54 @@ def _exists(spark, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def _refresh_rfm(sales: DataFrame, out: str, path: str, new_dates: list | None,
+                 all_dates: set | None) -> None:
+    """RFM from the client-state table.
+
+    The state stores client totals and the set of dates they cover.  When the
+    covered dates plus ``new_dates`` are exactly the table's dates
+    (``all_dates``, from a listing of the partition folders), only the new
+    dates' rows are aggregated and merged — O(clients), not O(sales).
+    Anything else (no state, unknown dates, a gap) rebuilds the state from
+    the whole fact."""
+    spark = sales.sparkSession
+    state_path = f"{out.rstrip('/')}/_client_state"
+    dates_path = f"{out.rstrip('/')}/_client_state_dates"
+    state = None
+    if new_dates is not None and all_dates is not None and _exists(spark, dates_path):
+        covered = {r.purchase_date for r in spark.read.parquet(dates_path).collect()}
+        if covered.isdisjoint(new_dates) and covered | set(new_dates) == set(all_dates):
+            old = spark.read.parquet(state_path)
+            if new_dates:
+                days = [F.lit(d).cast("date") for d in new_dates]
+                state = merge_client_aggregates(old, client_aggregates(
+                    sales.where(F.col("purchase_date").isin(days))))
+            else:
+                state = old
+    if state is None:
+        state = client_aggregates(sales)
+        all_dates = all_dates if all_dates is not None else \
+            {r.purchase_date for r in sales.select("purchase_date").distinct().collect()}
+    # Materialized before the state folders are replaced (they may be read here).
+    state = state.checkpoint(eager=True)
+    state.write.mode("overwrite").parquet(state_path)
+    spark.createDataFrame([(d,) for d in sorted(all_dates)], "purchase_date date") \
+        .write.mode("overwrite").parquet(dates_path)
+    rfm_from_metrics(metrics_from_aggregates(state)).write.mode("overwrite").parquet(path)
+
+
 def refresh_marts(sales: DataFrame, out: str, names: list[str] | None = None,
-                  months: list | None = None) -> dict[str, str]:
+                  months: list | None = None, new_dates: list | None = None,
+                  all_dates: set | None = None) -> dict[str, str]:
     """Rebuild the marts in dependency order.
 
     ``months``: month starts touched by the latest load.  Date- and
     month-grain marts then rebuild only those months (dynamic partition
-    overwrite); customer_rfm and product_abc_xyz rank whole tables and are
-    rebuilt in full — product_abc_xyz from the stored monthly mart, not from
-    the raw fact.  Without ``months`` (or when a mart is missing) everything
-    is rebuilt."""
+    overwrite).  ``new_dates``: the dates that load added, ``all_dates``: the
+    table's dates; customer_rfm then merges only the new dates' client totals
+    into the stored client state before ranking.  Ranks always cover whole tables — the client state, and for
+    product_abc_xyz the stored monthly mart, never the raw fact.  Without
+    ``months`` (or when a mart is missing) everything is rebuilt."""
     wanted = set(names or MART_ORDER)
     if "product_abc_xyz" in wanted:
         wanted.add("product_monthly_sales")
@@ -292,7 +374,7 @@ def refresh_marts(sales: DataFrame, out: str, names: list[str] | None = None,
         elif name == "product_monthly_sales":
             _write_by_month(product_monthly_sales(src), path, incremental)
         elif name == "customer_rfm":
-            customer_rfm(sales).write.mode("overwrite").parquet(path)
+            _refresh_rfm(sales, out, path, new_dates if incremental else None, all_dates)
         else:
             product_abc_xyz(spark.read.parquet(paths["product_monthly_sales"])) \
                 .write.mode("overwrite").parquet(path)

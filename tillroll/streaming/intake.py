@@ -20,7 +20,7 @@ from tillroll.plans.ingest import ingest_records
 from tillroll.plans.marts import refresh_marts
 from tillroll.session import checkpoint_dir
 from tillroll.sources.batches import parse_landed
-from tillroll.sources.sales_table import read_sales
+from tillroll.sources.sales_table import partition_dates, read_sales
 
 
 def runs_path(sales_path: str) -> str:
@@ -40,7 +40,8 @@ def _process(spark: SparkSession, raw: DataFrame, sales_path: str, fmt: str, mar
     if marts_out:
         loaded = [r.batch_date for r in status.where(F.col("status") == "loaded").select("batch_date").collect()]
         months = sorted({d.replace(day=1) for d in loaded})
-        refresh_marts(read_sales(spark, sales_path), marts_out, months=months)
+        refresh_marts(read_sales(spark, sales_path), marts_out, months=months, new_dates=loaded,
+                      all_dates=partition_dates(spark, sales_path))
 
 
 def start_intake(spark: SparkSession, landing: str, sales_path: str, marts_out: str | None = None,
