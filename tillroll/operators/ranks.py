@@ -245,14 +245,3 @@ def quantile_score(rank_no: Column, n: Column, q: int = 5) -> Column:
     b = F.greatest(n - 1, F.lit(1)).cast(INT)
     score = int_div(a + b - 1, b)
     return F.when(n <= 1, F.lit(1)).otherwise(F.greatest(F.lit(1), score.cast("int"))).cast("int")
-
-
-def with_share(df: DataFrame, col: str, out: str, scale: int = 6, mult: int = 100,
-               scaled_units: int = 0) -> DataFrame:
-    """``out`` = mult * col / sum(col), rounded half up; the grand total is a
-    one-row aggregate joined by broadcast (keeps the parallelism)."""
-    num = F.col(col) * F.lit(10 ** scaled_units) if scaled_units else F.col(col)
-    tot = df.agg(F.sum(num).alias("_share_total"))
-    return (df.crossJoin(F.broadcast(tot))
-            .withColumn(out, ratio_half_up(num, F.col("_share_total"), scale, mult))
-            .drop("_share_total"))

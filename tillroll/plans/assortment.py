@@ -204,25 +204,31 @@ def xyz_summary(xyz: DataFrame) -> DataFrame:
     )
 
 
-def cv_histogram(xyz: DataFrame, bins: int = HIST_BINS) -> DataFrame:
-    """Equal-width bins between min and max CV (last bin closed), all bins
-    listed; bin numbers from exact integer arithmetic."""
-    cv = xyz.where(F.col("cv").isNotNull())
-    bounds = cv.agg(F.min("cv").alias("_lo"), F.max("cv").alias("_hi"))
-    lo_u, hi_u = unscaled(F.col("_lo"), R6), unscaled(F.col("_hi"), R6)
+def histogram(df: DataFrame, col: str, bins: int = HIST_BINS, scale: int = R6) -> DataFrame:
+    """Equal-width bins between min and max of a DECIMAL column (last bin
+    closed), every bin listed with its edges; bin numbers from exact integer
+    arithmetic on the column's smallest units (``scale`` places)."""
+    v = df.where(F.col(col).isNotNull())
+    bounds = v.agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
+    lo_u, hi_u = unscaled(F.col("_lo"), scale), unscaled(F.col("_hi"), scale)
     width = hi_u - lo_u
-    off = unscaled(F.col("cv"), R6) - lo_u
+    off = unscaled(F.col(col), scale) - lo_u
     b = F.when(width == 0, F.lit(1)).otherwise(
         F.least(F.lit(bins), int_div(off * bins, F.greatest(width, F.lit(1))).cast("int") + 1))
-    counts = cv.crossJoin(F.broadcast(bounds)).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("products"))
-    grid = xyz.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    counts = v.crossJoin(F.broadcast(bounds)).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("products"))
+    grid = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
     grid = grid.crossJoin(F.broadcast(bounds))
-    edge = lambda k: scale_down(int_div(as_int(lo_u) * bins + width * k, F.lit(bins)), R6, 24)
+    edge = lambda k: scale_down(int_div(as_int(lo_u) * bins + width * k, F.lit(bins)), scale, 24)
     grid = grid.select("bin", edge(F.col("bin") - 1).alias("bin_start"), edge(F.col("bin")).alias("bin_end"))
     return grid.join(counts, "bin", "left").select(
         "bin", "bin_start", "bin_end", F.coalesce(F.col("products"), F.lit(0)).alias("products"))
 
 
+def cv_histogram(xyz: DataFrame, bins: int = HIST_BINS) -> DataFrame:
+    """The 60-bin distribution of the demand CV (the data behind the plot)."""
+    return histogram(xyz, "cv", bins)
+
+
 def describe_cv(xyz: DataFrame) -> DataFrame:
     return describe_long(xyz, ["cv"], DESCRIBE_PCTS_SHORT)
 
