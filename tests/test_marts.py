@@ -95,3 +95,12 @@ def test_invariants_on_fixture(spark):
                      *[F.max(c).alias(f"hi_{c}") for c in ("r_score", "f_score", "m_score")]).first()
     assert min(bounds[:3]) >= 1 and max(bounds[3:]) <= 5
     assert rfm.where(F.col("rfm_segment").isNull()).count() == 0
+
+
+def test_one_to_one_check(spark):
+    import pytest
+    from tillroll.plans.assortment import check_one_to_one
+    ok = spark.createDataFrame([(1,), (2,)], "product_id long")
+    check_one_to_one(ok)
+    with pytest.raises(ValueError):
+        check_one_to_one(ok.union(ok))

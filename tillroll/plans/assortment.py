@@ -20,6 +20,7 @@ from tillroll.functions.numeric import (INT, as_int, cents, int_div, ratio_half_
 from tillroll.operators.ranks import asc, desc, global_prefix
 from tillroll.operators.stats import describe_long, exact_percentiles, medians_by
 from tillroll.plans.marts import D20, with_amounts
+from tillroll.sources.sales_table import assert_unique
 from tillroll.schema import (ABC_A, ABC_B, DESCRIBE_PCTS, DESCRIBE_PCTS_SHORT, XYZ_CLASSIC_X,
                              XYZ_CLASSIC_Y)
 
@@ -235,9 +236,20 @@ def describe_cv(xyz: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------ ABC–XYZ -------
 
-def abc_xyz_profile(abc: DataFrame, xyz: DataFrame) -> DataFrame:
+def check_one_to_one(*sides: DataFrame, key: str = "product_id") -> None:
+    """Raise when a join side repeats its key (the 1:1 merge contract).
+    One small job per side; both sides here are grouped on the key, so the
+    check is optional."""
+    for side in sides:
+        if assert_unique(side.select(key), [key]).limit(1).count():
+            raise ValueError(f"join side is not unique on {key}")
+
+
+def abc_xyz_profile(abc: DataFrame, xyz: DataFrame, validate: bool = False) -> DataFrame:
     """Left join on product_id; both sides are one row per product (grouped
     on it), so the join is 1:1 and co-partitioned."""
+    if validate:
+        check_one_to_one(abc, xyz)
     x = xyz.select("product_id", "avg_monthly_units", "std_monthly_units", "cv", "xyz_class")
     return abc.join(x, "product_id", "left").withColumn(
         "abc_xyz_class", F.concat(F.col("abc_class"), F.col("xyz_class")))
@@ -296,9 +308,12 @@ def product_month_discount(sales_year: DataFrame) -> DataFrame:
                                                  "high").otherwise("low"))
 
 
-def discount_response(pmd: DataFrame, abc_xyz: DataFrame) -> DataFrame:
+def discount_response(pmd: DataFrame, abc_xyz: DataFrame, validate: bool = False) -> DataFrame:
     """Per product, low- vs high-discount months in one conditional
-    aggregate; kept when each side has at least two months."""
+    aggregate (the low and high sides of one product are joined by
+    construction); kept when each side has at least two months."""
+    if validate:
+        check_one_to_one(abc_xyz)
     low = F.col("discount_level") == "low"
     high = ~low
     pct_u = unscaled(F.col("weighted_discount_pct"), R6)
