@@ -156,3 +156,18 @@ def test_incremental_rfm_state_equals_full_recompute(spark, scratch):
     inc = spark.read.parquet(f"{marts}/customer_rfm")
     full = customer_rfm(read_sales(spark, sales_path))
     assert sorted(inc.select(*cols).collect()) == sorted(full.select(*cols).collect())
+
+
+def test_load_log_compaction_keeps_ids_contiguous(spark, scratch, monkeypatch):
+    import tillroll.sources.sales_table as st
+    monkeypatch.setattr(st, "LOG_COMPACT_FILES", 2)
+    landing, sales_path = f"{scratch}/landing", f"{scratch}/sales"
+    days = ["2024-11-01", "2024-11-02", "2024-11-03", "2024-11-04"]
+    for d in days:
+        land(landing, d, [day_rec(d, client=c) for c in (1, 2)])
+    for d in days:
+        ingest_dates(spark, landing, sales_path, [d])
+    ids = sorted(r.sale_id for r in read_sales(spark, sales_path).select("sale_id").collect())
+    assert ids == list(range(1, 9))
+    log = st.read_load_log(spark, sales_path)
+    assert log.count() == 4 and log.agg(F.max("max_sale_id")).first()[0] == 8

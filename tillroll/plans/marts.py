@@ -339,9 +339,12 @@ def _refresh_rfm(sales: DataFrame, out: str, path: str, new_dates: list | None,
             {r.purchase_date for r in sales.select("purchase_date").distinct().collect()}
     # Materialized before the state folders are replaced (they may be read here).
     state = state.checkpoint(eager=True)
+    # Coverage is cleared first and written last: an interrupted replacement
+    # leaves no coverage, so the next refresh rebuilds instead of merging.
+    marker = spark.createDataFrame([(d,) for d in sorted(all_dates)], "purchase_date date")
+    marker.limit(0).write.mode("overwrite").parquet(dates_path)
     state.write.mode("overwrite").parquet(state_path)
-    spark.createDataFrame([(d,) for d in sorted(all_dates)], "purchase_date date") \
-        .write.mode("overwrite").parquet(dates_path)
+    marker.write.mode("overwrite").parquet(dates_path)
     rfm_from_metrics(metrics_from_aggregates(state)).write.mode("overwrite").parquet(path)
 
 
