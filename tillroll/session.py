@@ -59,3 +59,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="tillroll-ckpt-")
     sc.setCheckpointDir(path)
     return path
+
+
+def scale_settings(scan_bytes: int, executors: int, cores_per_executor: int,
+                   shuffle_fraction: float = 0.3, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run, sized from the bytes the largest job scans.
+
+    - shuffle partitions: the expected shuffle volume (``shuffle_fraction`` of
+      the scan after partial aggregation) in ~256 MB partitions, at least two
+      waves of the cluster's cores; AQE coalesces what turns out smaller;
+    - scan splits of 256 MB (fewer, larger tasks over big Parquet files);
+    - AQE skew handling: a partition 5× the median and above 512 MB is split;
+    - automatic broadcast up to 64 MB, decided by AQE from runtime sizes.
+
+    Pass the result to ``SparkSession.builder.config(map=...)`` or
+    spark-submit ``--conf``."""
+    slots = executors * cores_per_executor
+    shuffle = max(2 * slots, int(scan_bytes * shuffle_fraction / target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.parquet.aggregatePushdown": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
