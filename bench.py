@@ -111,16 +111,17 @@ def main() -> None:
     refresh = sum(times[k] for k in ("daily_sales", "customer_rfm", "product_monthly_sales", "product_abc_xyz"))
 
     year = A.read_year(sales, STUDY_YEAR)
-    timed("product_profile", lambda: write(A.product_profile(year), "product_profile"))
+    timed("product_profile", lambda: write(A.product_profile(year, unique_sale_ids=True), "product_profile"))
     profile = spark.read.parquet(f"{root}/product_profile")
     timed("abc_profile", lambda: write(A.abc_profile(profile), "abc_profile"))
     timed("xyz_profile", lambda: write(A.xyz_profile(year, STUDY_YEAR), "xyz_profile"))
     abc = spark.read.parquet(f"{root}/abc_profile")
     xyz = spark.read.parquet(f"{root}/xyz_profile")
     timed("describe_products", lambda: run(A.describe_products(profile)))
-    timed("discount_response", lambda: run(A.discount_response(A.product_month_discount(year),
+    timed("discount_response", lambda: run(A.discount_response(A.product_month_discount(year, True),
                                                                A.abc_xyz_profile(abc, xyz))))
-    timed("client_profile", lambda: write(C.client_profile(year, STUDY_ANALYSIS_DATE), "client_profile"))
+    timed("client_profile", lambda: write(C.client_profile(year, STUDY_ANALYSIS_DATE, unique_sale_ids=True),
+                                                         "client_profile"))
     clients = spark.read.parquet(f"{root}/client_profile")
     timed("client_pareto", lambda: run(C.client_pareto(clients)))
     timed("rfm_study", lambda: run(C.rfm_profile(C.rfm_study(clients))))

@@ -55,3 +55,9 @@ def test_every_client_one_segment_and_pareto_monotone(year):
     assert top == sorted(top) and top[-1] < D(100)
     freq = C.frequency_profile(profile).agg(F.sum("clients_pct")).first()[0]
     assert abs(freq - D(100)) <= D("0.0001")
+
+
+def test_unique_sale_id_shortcut_matches_distinct(year):
+    a = A.product_profile(year).select("product_id", "sales_count")
+    b = A.product_profile(year, unique_sale_ids=True).select("product_id", "sales_count")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -45,10 +45,17 @@ def _pct_of_total(df: DataFrame, specs: dict[str, tuple[str, int]]) -> DataFrame
 
 # ------------------------------------------------------------ profile ------
 
-def product_profile(sales_year: DataFrame) -> DataFrame:
+def sales_count_agg(unique_sale_ids: bool):
+    """Distinct sales.  On a table whose sale_id is unique (the key contract
+    of the loaded fact) a row count is the same number and needs no
+    distinct-expansion shuffle."""
+    return F.count(F.lit(1)) if unique_sale_ids else F.count_distinct("sale_id")
+
+
+def product_profile(sales_year: DataFrame, unique_sale_ids: bool = False) -> DataFrame:
     s = with_amounts(sales_year)
     g = s.groupBy("product_id").agg(
-        F.count_distinct("sale_id").alias("sales_count"),
+        sales_count_agg(unique_sale_ids).alias("sales_count"),
         F.sum("quantity").cast("bigint").alias("units_sold"),
         F.count_distinct("client_id").alias("unique_clients"),
         F.count_distinct("purchase_date").alias("active_days"),
@@ -287,13 +294,13 @@ def abc_xyz_matrix(summary: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------- discount response ---
 
-def product_month_discount(sales_year: DataFrame) -> DataFrame:
+def product_month_discount(sales_year: DataFrame, unique_sale_ids: bool = False) -> DataFrame:
     """Product-month table with the weighted discount %, the product's median
     over its months, and the level (above the median → high, else low).
     A product has at most 12 months, so its median window is bounded."""
     s = with_amounts(sales_year)
     g = s.groupBy("product_id", "purchase_month").agg(
-        F.count_distinct("sale_id").alias("sales_count"),
+        sales_count_agg(unique_sale_ids).alias("sales_count"),
         F.sum("quantity").cast("bigint").alias("units_sold"),
         F.sum("gross_revenue").cast(D20).alias("gross_revenue"),
         F.sum("discount_amount").cast(D20).alias("discount_amount"),

@@ -10,13 +10,14 @@ from tillroll.functions.classes import rfm_segment_study
 from tillroll.functions.numeric import as_int, cents, ratio_half_up, unscaled
 from tillroll.operators.ranks import asc, desc, global_prefix, quantile_score
 from tillroll.operators.stats import describe_long
+from tillroll.plans.assortment import sales_count_agg
 from tillroll.plans.marts import D20, with_amounts
 from tillroll.schema import DESCRIBE_PCTS, PARETO_SHARES
 
 R6 = 6
 
 
-def client_profile(sales_year: DataFrame, analysis_date) -> DataFrame:
+def client_profile(sales_year: DataFrame, analysis_date, unique_sale_ids: bool = False) -> DataFrame:
     """One row per client of the year.  ``gender`` is the gender of the
     client's first sale by sale id (a deterministic 'first')."""
     s = with_amounts(sales_year)
@@ -24,7 +25,7 @@ def client_profile(sales_year: DataFrame, analysis_date) -> DataFrame:
         F.min_by("gender", "sale_id").alias("gender"),
         F.min("purchase_date").alias("first_purchase_date"),
         F.max("purchase_date").alias("last_purchase_date"),
-        F.count_distinct("sale_id").alias("frequency"),
+        sales_count_agg(unique_sale_ids).alias("frequency"),
         F.count_distinct("purchase_date").alias("active_days"),
         F.count_distinct("purchase_month").alias("active_months"),
         F.sum("quantity").cast("bigint").alias("units_purchased"),
