@@ -28,7 +28,7 @@ from functools import cmp_to_key
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.functions.numeric import INT, int_div, ratio_half_up
+from tillroll.functions.numeric import INT, int_div
 
 ROWS_PER_BUCKET = 1_000_000
 MIN_BUCKETS = 8
