@@ -30,6 +30,7 @@ DECIMAL_COLUMNS = {
     'frequency_profile': ['revenue', 'clients_pct', 'revenue_pct'],
     'ingest_status': [],
     'key_contract': [],
+    'landed_verdicts': [],
     'kpis': ['revenue', 'avg_sale_amount'],
     'load_overview': [],
     'missing_dates': [],

@@ -58,6 +58,7 @@ def _dups(name: str, source: str, keys: str) -> str:
 
 INGEST_SQL = {
     "validate_batches": with_sales(RULES) + "SELECT * FROM verdicts",
+    "landed_verdicts": with_sales(RULES) + "SELECT * FROM verdicts",
     "quarantine": with_sales(RULES) + """SELECT r.batch_date, CAST(r.client_id AS VARCHAR) AS client_id,
   CAST(r.product_id AS VARCHAR) AS product_id,
   CASE WHEN r.big_qty THEN '40000' ELSE CAST(r.quantity AS VARCHAR) END AS quantity,

@@ -129,6 +129,18 @@ def _validated(s, d):
     return validate_batches(fixture_records(s, d))
 
 
+def _landed_verdicts(s, d):
+    """S-01 end to end: land the derived records as JSON-array files in the
+    session's checkpoint folder, read them back, verdict per date."""
+    import uuid
+    from tillroll.sources.batches import read_day_batches
+    from tillroll.sources.fixture import land_fixture_records
+    root = f"{checkpoint_dir(s).rstrip('/')}/landing-{uuid.uuid4().hex[:8]}"
+    land_fixture_records(fixture_records(s, d).checkpoint(eager=True), root)
+    records, files = read_day_batches(s, root)
+    return validate_batches(records, files)[2]
+
+
 def _ingest_status(s, d):
     sales = _sales(s, d)
     bounds = sales.agg(F.min("purchase_date").alias("a"), F.max("purchase_date").alias("b"))
@@ -156,6 +168,7 @@ def _key_contract(s, d):
 def _ingest_queries() -> dict[str, Query]:
     return {
         "validate_batches": lambda s, d: _validated(s, d)[2],
+        "landed_verdicts": _landed_verdicts,
         "quarantine": lambda s, d: _validated(s, d)[1],
         "ingest_status": _ingest_status,
         "backfill_summary": lambda s, d: ingest.run_summary(_ingest_status(s, d)),

@@ -95,3 +95,23 @@ def fixture_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     rec = F.when(no_gender, F.map_filter(rec, lambda k, v: k != F.lit("gender"))).otherwise(rec)
     return s.select(day.alias("batch_date"), F.lit("derived").alias("file"),
                     sid.alias("pos"), rec.alias("rec"))
+
+
+RECORDS_PER_FILE = 5000
+
+
+def land_fixture_records(records: DataFrame, root: str) -> None:
+    """Land API records as the source receives them: JSON arrays, one array per
+    file under ``batch_date=...``.  A date is split into
+    ceil(rows / RECORDS_PER_FILE) arrays by a hash of the record, so no array
+    (one row, one task) grows with the data."""
+    per_day = records.groupBy("batch_date").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(RECORDS_PER_FILE)).cast("int").alias("_k"))
+    chunked = records.join(per_day, "batch_date").withColumn(
+        "_chunk", F.pmod(F.xxhash64("pos"), F.col("_k")))
+    arrays = chunked.groupBy("batch_date", "_chunk").agg(
+        F.to_json(F.collect_list(F.col("rec"))).alias("value"))
+    from tillroll.sources.sales_table import write_tasks
+    (arrays.select("batch_date", "value", "_chunk")
+     .repartition(write_tasks(records.sparkSession), "batch_date", "_chunk").drop("_chunk")
+     .write.mode("overwrite").option("maxRecordsPerFile", 1).partitionBy("batch_date").text(root))
