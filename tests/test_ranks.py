@@ -73,3 +73,29 @@ def test_cume_counts_many_equal_cume_dist(spark):
     for c in ("v", "x", "m"):
         bad = j.where(F.abs(F.col(f"le_{c}") / F.lit(n) - F.col(f"cd_{c}")) > 1e-12).count()
         assert bad == 0, c
+
+
+def test_global_prefix_key_types_directions_nulls(spark):
+    import datetime as dt
+    from decimal import Decimal
+    from tillroll.operators.ranks import Key
+    rnd = random.Random(21)
+    rows = []
+    for i in range(2500):
+        d = None if rnd.random() < 0.05 else dt.date(2020, 1, 1) + dt.timedelta(days=rnd.randint(0, 40))
+        s = None if rnd.random() < 0.05 else rnd.choice(["a", "b", "bb", "c", "ä", "Z"])
+        m = None if rnd.random() < 0.05 else Decimal(rnd.randint(-500, 500)) / 100
+        rows.append((i, d, s, m, rnd.randint(0, 9)))
+    df = spark.createDataFrame(rows, "id long, d date, s string, m decimal(10,2), x long")
+    cases = [
+        [Key("d", True, True), Key("s", False, False), Key("id", True)],
+        [Key("m", False, True), Key("d", True, False), Key("id", False)],
+        [Key("s", True, False), Key("m", True, True), Key("id", True)],
+    ]
+    for keys in cases:
+        got = global_prefix(df, keys, ["x"], n_buckets=5)
+        w = Window.orderBy(*[k.sort_col() for k in keys])
+        exp = df.select("id", F.row_number().over(w).alias("rn"),
+                        F.sum("x").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("run"))
+        bad = got.join(exp, "id").where((F.col("row_no") != F.col("rn")) | (F.col("running_x") != F.col("run")))
+        assert bad.count() == 0, [(k.name, k.ascending, k.nulls_last) for k in keys]
