@@ -171,3 +171,17 @@ def test_load_log_compaction_keeps_ids_contiguous(spark, scratch, monkeypatch):
     assert ids == list(range(1, 9))
     log = st.read_load_log(spark, sales_path)
     assert log.count() == 4 and log.agg(F.max("max_sale_id")).first()[0] == 8
+
+
+def test_marts_as_sql_views(spark, scratch):
+    from tillroll.plans.views import register_views
+    landing, sales_path, marts = f"{scratch}/landing", f"{scratch}/sales", f"{scratch}/marts"
+    for d in ("2024-12-01", "2024-12-02"):
+        land(landing, d, [day_rec(d, client=c, product=p) for c in (1, 2) for p in (5, 6)])
+    ingest_dates(spark, landing, sales_path, ["2024-12-01"])
+    daily_load(spark, landing, sales_path, "2024-12-03", marts)
+    names = register_views(spark, marts, sales_path, prefix="t_")
+    assert "t_customer_rfm" in names and "t_sales" in names
+    got = spark.sql("""SELECT sum(revenue) AS r, sum(sales_count) AS n FROM t_daily_sales
+                       WHERE purchase_date BETWEEN DATE '2024-12-01' AND DATE '2024-12-31'""").first()
+    assert got.n == 8 and got.r == spark.sql("SELECT sum(total_price) AS t FROM t_sales").first().t
