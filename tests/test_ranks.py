@@ -99,3 +99,17 @@ def test_global_prefix_key_types_directions_nulls(spark):
                         F.sum("x").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("run"))
         bad = got.join(exp, "id").where((F.col("row_no") != F.col("rn")) | (F.col("running_x") != F.col("run")))
         assert bad.count() == 0, [(k.name, k.ascending, k.nulls_last) for k in keys]
+
+
+def test_load_ids_contiguous_over_many_buckets(spark):
+    from tillroll.sources.sales_table import with_load_columns
+    rows = spark.range(60000).select(
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 100).cast("int")).alias("batch_date"),
+        F.concat(F.lit("f"), (F.col("id") % 3).cast("string")).alias("file"),
+        (F.col("id") * 7919 % 100003).alias("pos"))
+    got = with_load_columns(rows, 10)
+    assert got.agg(F.min("sale_id"), F.max("sale_id"), F.count_distinct("sale_id")).first() == (10, 60009, 60000)
+    w = Window.orderBy("batch_date", "file", "pos")
+    exp = rows.select("batch_date", "file", "pos", (F.row_number().over(w) + 9).alias("exp_id"))
+    bad = got.join(exp, ["batch_date", "file", "pos"]).where(F.col("sale_id") != F.col("exp_id")).count()
+    assert bad == 0
