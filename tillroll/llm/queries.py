@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import bpe, mixing, quality_rules, token_counts
+from tillroll.llm import bpe, language, mixing, quality_model, quality_rules, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,13 +30,27 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(_table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = token_counts.Counter(public_tokenizers.path("piece_bpe_32k.model"))
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), tokenizer)
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(_table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_source_mix, op4_byte_bpe, op8_token_counts)}
+    return {f.__name__: f for f in (
+        op1_quality_rules, op2_source_mix, op4_byte_bpe, op5_toxicity, op7_quality_model, op8_token_counts,
+        op10_language)}
 
 
 def all_sql() -> dict[str, str]:
