@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import bpe, language, mixing, quality_model, quality_rules, token_counts, toxicity
+from tillroll.llm import bpe, language, mixing, near_dups, quality_model, quality_rules, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -49,7 +53,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_quality_rules, op2_source_mix, op4_byte_bpe, op5_toxicity, op7_quality_model, op8_token_counts,
+        op1_quality_rules, op2_source_mix, op4_byte_bpe, op5_toxicity, op6_near_dups, op7_quality_model, op8_token_counts,
         op10_language)}
 
 
