@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import bpe, language, mixing, near_dups, quality_model, quality_rules, token_counts, toxicity
+from tillroll.llm import bpe, language, mixing, near_dups, quality_model, quality_rules, token_counts, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +47,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), tokenizer)
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(_table(spark, sf_dir, "documents"))
 
@@ -54,7 +58,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_quality_rules, op2_source_mix, op4_byte_bpe, op5_toxicity, op6_near_dups, op7_quality_model, op8_token_counts,
-        op10_language)}
+        op9_warc, op10_language)}
 
 
 def all_sql() -> dict[str, str]:
