@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, language, mixing, near_dups, quality_model, quality_rules, token_counts, toxicity, warc
+from tillroll.llm import bpe, language, mixing, near_dups, quality_model, quality_rules, token_counts, toxicity, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +26,10 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs)
 
 
+def op3_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return bpe.round_trip_digests(_table(spark, sf_dir, "documents"), vocabulary)
@@ -57,8 +62,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_quality_rules, op2_source_mix, op4_byte_bpe, op5_toxicity, op6_near_dups, op7_quality_model, op8_token_counts,
-        op9_warc, op10_language)}
+        op1_quality_rules, op2_source_mix, op3_vector_search, op4_byte_bpe, op5_toxicity, op6_near_dups,
+        op7_quality_model, op8_token_counts, op9_warc, op10_language)}
 
 
 def all_sql() -> dict[str, str]:
