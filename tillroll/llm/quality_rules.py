@@ -125,14 +125,17 @@ def _judged(x: Column) -> Column:
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  max_lost_pct: int = MAX_LOST_PCT) -> DataFrame:
+                  max_lost_pct: int = MAX_LOST_PCT, carry: list[str] = ()) -> DataFrame:
     """One row per input row: id, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``,
     ``n_repeat_words``, ``base_failed``, ``kept``, then ``n_lines`` (with a word), ``n_removed_lines``,
-    ``lost_chars`` (word characters in removed lines) and ``cleaned`` (the text without failing lines)."""
-    d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    d = d.select("doc_id", "text", words_of(F.col("text")).alias("words"), F.split("text", "\n", -1).alias("lines"))
+    ``lost_chars`` (word characters in removed lines) and ``cleaned`` (the text without failing lines).
+    ``carry``: input columns that are passed through in a struct ``carried``."""
+    carried = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried")] if carry else []
+    d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *carried)
+    carried = ["carried"] if carry else []
+    d = d.select("doc_id", *carried, "text", words_of(F.col("text")).alias("words"), F.split("text", "\n", -1).alias("lines"))
     d = d.select(
-        "doc_id",
+        "doc_id", *carried,
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace("text", f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
@@ -140,7 +143,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         repeated_window_words(F.col("words")).alias("n_repeat_words"),
         F.transform(F.transform("lines", _line_facts), _judged).alias("judged"))
     d = d.select(
-        "doc_id", "n_words", "word_chars", "n_symbols",
+        "doc_id", *carried, "n_words", "word_chars", "n_symbols",
         (F.size("full_lines") - F.size(F.array_distinct("full_lines"))).cast("long").alias("n_dup_lines"),
         "n_repeat_words", F.size("full_lines").cast("long").alias("n_lines"),
         F.aggregate("judged", F.lit(0).cast("long"), lambda a, x: a + F.when(x["fails"], x["chars"]).otherwise(0)).alias("lost_chars"),
@@ -151,4 +154,16 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         base.alias("base_failed"),
         (~base & (100 * F.col("lost_chars") <= max_lost_pct * F.col("word_chars"))).alias("kept"),
         "n_lines", (F.col("n_all") - F.size("good")).cast("long").alias("n_removed_lines"), "lost_chars",
-        F.array_join(F.col("good")["line"], "\n").alias("cleaned"))
+        F.array_join(F.col("good")["line"], "\n").alias("cleaned"), *carried)
+
+
+def cleaned_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      max_lost_pct: int = MAX_LOST_PCT) -> DataFrame:
+    """The rows of ``docs`` that are kept, with the cleaned text.
+
+    The verdict is applied by a generator rather than a filter: the optimizer would copy a filter's
+    expressions down through every step and judge each document several times."""
+    judged = quality_rules(docs, id_col, text_col, max_lost_pct, carry=docs.columns)
+    row = F.struct(*[F.col("cleaned" if c == text_col else f"carried.`{c}`").alias(c) for c in docs.columns])
+    return judged.select(F.explode(F.when(F.col("kept"), F.array(row))).alias("row")).select(
+        *[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
