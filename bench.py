@@ -13,6 +13,7 @@ Prints one JSON line.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import os
 import sys
@@ -36,8 +37,9 @@ def main() -> None:
     from tillroll.sources.fixture import STUDY_ANALYSIS_DATE, STUDY_YEAR, fixture_records, fixture_sales
     from tillroll.plans.ingest import ingest_dates
     from tillroll.plans.marts import refresh_marts
-    from tillroll.sources.sales_table import (append_load_log, append_sales, partition_dates, read_sales,
+    from tillroll.sources.sales_table import (append_load_log, append_sales, date_versions, load_units, read_sales,
                                              with_load_columns)
+    from tillroll.session import staged
     from pyspark.sql import functions as F
 
     root = f"{checkpoint_dir(spark).rstrip('/')}/bench-{uuid.uuid4().hex[:8]}"
@@ -68,9 +70,10 @@ def main() -> None:
         rows = fx.where(F.col("purchase_date") < F.lit(last_day)).drop("sale_id").withColumns(
             {"batch_date": F.col("purchase_date"), "file": F.lit("history"),
              "pos": F.monotonically_increasing_id()})
-        loaded = with_load_columns(rows, 1).checkpoint(eager=True)
-        append_sales(loaded, sales_path)
-        append_load_log(loaded, sales_path)
+        rows, now = staged(rows), dt.datetime(2026, 1, 1)
+        units = staged(load_units(rows, 1))
+        append_load_log(units, sales_path, now)
+        append_sales(with_load_columns(rows, units, now), sales_path)
 
     timed("history_load", history)
 
@@ -90,7 +93,7 @@ def main() -> None:
     hist = read_sales(spark, sales_path)
     for name in ("daily_sales", "customer_rfm", "product_monthly_sales"):
         timed(f"full_{name}", lambda n=name: refresh_marts(hist, marts_out, [n],
-                                                           all_dates=partition_dates(spark, sales_path)))
+                                                           versions=date_versions(spark, sales_path)))
     timed("full_product_abc_xyz", lambda: marts.product_abc_xyz(spark.read.parquet(
         f"{marts_out}/product_monthly_sales")).write.mode("overwrite").parquet(f"{marts_out}/product_abc_xyz"))
     full_refresh = sum(times[f"full_{n}"] for n in ("daily_sales", "customer_rfm", "product_monthly_sales",
@@ -102,25 +105,23 @@ def main() -> None:
     assert status[0]["status"] == "loaded", status
     sales = read_sales(spark, sales_path)
     n_rows = sales.count()
-    month = last_day.replace(day=1)
     for name in ("daily_sales", "customer_rfm", "product_monthly_sales"):
-        timed(name, lambda n=name: refresh_marts(sales, marts_out, [n], months=[month], new_dates=[last_day],
-                                                 all_dates=partition_dates(spark, sales_path)))
+        timed(name, lambda n=name: refresh_marts(sales, marts_out, [n], versions=date_versions(spark, sales_path)))
     monthly = spark.read.parquet(f"{marts_out}/product_monthly_sales")
     timed("product_abc_xyz", lambda: write(marts.product_abc_xyz(monthly), "product_abc_xyz"))
     refresh = sum(times[k] for k in ("daily_sales", "customer_rfm", "product_monthly_sales", "product_abc_xyz"))
 
     year = A.read_year(sales, STUDY_YEAR)
-    timed("product_profile", lambda: write(A.product_profile(year, unique_sale_ids=True), "product_profile"))
+    timed("product_profile", lambda: write(A.product_profile(year), "product_profile"))
     profile = spark.read.parquet(f"{root}/product_profile")
     timed("abc_profile", lambda: write(A.abc_profile(profile), "abc_profile"))
     timed("xyz_profile", lambda: write(A.xyz_profile(year, STUDY_YEAR), "xyz_profile"))
     abc = spark.read.parquet(f"{root}/abc_profile")
     xyz = spark.read.parquet(f"{root}/xyz_profile")
     timed("describe_products", lambda: run(A.describe_products(profile)))
-    timed("discount_response", lambda: run(A.discount_response(A.product_month_discount(year, True),
+    timed("discount_response", lambda: run(A.discount_response(A.product_month_discount(year),
                                                                A.abc_xyz_profile(abc, xyz))))
-    timed("client_profile", lambda: write(C.client_profile(year, STUDY_ANALYSIS_DATE, unique_sale_ids=True),
+    timed("client_profile", lambda: write(C.client_profile(year, STUDY_ANALYSIS_DATE),
                                                          "client_profile"))
     clients = spark.read.parquet(f"{root}/client_profile")
     timed("client_pareto", lambda: run(C.client_pareto(clients)))

@@ -134,43 +134,102 @@ def test_cli_backfill_and_refresh(spark, scratch, capsys):
     assert "loaded_days" in out
 
 
-def test_incremental_rfm_state_equals_full_recompute(spark, scratch):
-    from tillroll.plans.marts import customer_rfm
+def _marts_equal_recompute(spark, sales_path, marts):
+    from tillroll.plans import marts as M
+    sales = read_sales(spark, sales_path)
+    monthly = M.product_monthly_sales(sales)
+    full = {"daily_sales": M.daily_sales(sales), "product_monthly_sales": monthly, "customer_rfm": M.customer_rfm(sales),
+            "product_abc_xyz": M.product_abc_xyz(monthly)}
+    for name, want in full.items():
+        cols = sorted(want.columns)
+        got = spark.read.parquet(f"{marts}/{name}").select(*cols)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*cols).collect())), name
+
+
+def test_marts_equal_full_recompute_after_gaps(spark, scratch):
     landing, sales_path, marts = f"{scratch}/landing", f"{scratch}/sales", f"{scratch}/marts"
-    days = ["2024-09-01", "2024-09-02", "2024-09-03", "2024-10-01"]
+    days = ["2024-08-31", "2024-09-01", "2024-09-02", "2024-09-03", "2024-10-01"]
     for i, d in enumerate(days):
         land(landing, d, [day_rec(d, client=c, gender="MF"[c % 2], total=f"{20 * (i + 1)}.00",
                                   price=f"{10 * (i + 1) + 0.25:.2f}", disc="0.25") for c in range(1 + i, 6 + i)])
-    ingest_dates(spark, landing, sales_path, days[:2])
-    daily_load(spark, landing, sales_path, "2024-09-03", marts)   # full build of the state
-    # a date loaded without a refresh: the next refresh must notice the gap and rebuild
-    ingest_dates(spark, landing, sales_path, ["2024-09-03"])
+    ingest_dates(spark, landing, sales_path, [days[1]])
+    daily_load(spark, landing, sales_path, "2024-09-02", marts)   # first build: 09-01
+    # dates of two months loaded without a refresh, as after a backfill or a crash behind the append
+    ingest_dates(spark, landing, sales_path, [days[0], days[2], days[3]])
     daily_load(spark, landing, sales_path, "2024-10-02", marts)
-    inc = spark.read.parquet(f"{marts}/customer_rfm")
-    full = customer_rfm(read_sales(spark, sales_path))
-    cols = sorted(full.columns)
-    assert sorted(inc.select(*cols).collect()) == sorted(full.select(*cols).collect())
-    # and the pure incremental path (state covers all earlier dates)
+    assert spark.read.parquet(f"{marts}/daily_sales").count() == 5
+    _marts_equal_recompute(spark, sales_path, marts)
+    # only new dates: the client state is merged
     land(landing, "2024-10-02", [day_rec("2024-10-02", client=c, total="20.00") for c in (2, 9)])
     daily_load(spark, landing, sales_path, "2024-10-03", marts)
-    inc = spark.read.parquet(f"{marts}/customer_rfm")
-    full = customer_rfm(read_sales(spark, sales_path))
-    assert sorted(inc.select(*cols).collect()) == sorted(full.select(*cols).collect())
+    _marts_equal_recompute(spark, sales_path, marts)
+    # a file that lands late replaces its date, also in the marts
+    land(landing, "2024-09-02", [day_rec("2024-09-02", client=77)], "part-1.json")
+    st = ingest_dates(spark, landing, sales_path, ["2024-09-02"]).first()
+    assert (st.status, st.rows) == ("loaded", 6)
+    daily_load(spark, landing, sales_path, "2024-10-03", marts)
+    _marts_equal_recompute(spark, sales_path, marts)
+
+
+def test_bodies_that_are_not_one_whole_array(spark, scratch):
+    landing = f"{scratch}/landing"
+    one = json.dumps(day_rec("2024-01-01"))
+    bodies = {"[%s]garbage": "broken_json", "[%s][%s,%s": "broken_json", "[%s,%s], %s": "broken_json",
+              '[%s],"x":[2]': "broken_json", "[%s],1] [": "broken_json", "[%s,\n  %s\n]\n": None, " [ %s ] ": None}
+    for i, body in enumerate(bodies):
+        land(landing, f"2024-01-{i + 1:02}", body.replace("%s", one.replace("2024-01-01", f"2024-01-{i + 1:02}")))
+    v = {r.batch_date.day: r for r in validate_batches(*read_day_batches(spark, landing))[2].collect()}
+    for i, (body, reason) in enumerate(bodies.items()):
+        assert v[i + 1].reason == reason, (body, v[i + 1])
+    assert v[6].rows == 2
+
+
+def test_types_zones_and_pretty_printed_files(spark, scratch):
+    landing, sales_path = f"{scratch}/landing", f"{scratch}/sales"
+    land(landing, "2024-01-01", [day_rec("2024-01-01", client=3000000000)])       # beyond INTEGER
+    land(landing, "2024-01-02", [rec(dt="2024-01-02T01:00:00+03:00"), day_rec("2024-01-02", client="5.0")])
+    land(landing, "2024-01-03", json.dumps([day_rec("2024-01-03"), day_rec("2024-01-03", client=2)], indent=2))
+    land(landing, "2024-01-04", [day_rec("2024-01-04", client="5.5")])
+    got = {r.batch_date.day: (r.status, r.reason) for r in
+           ingest_dates(spark, landing, sales_path, [f"2024-01-0{i}" for i in (1, 2, 3, 4)]).collect()}
+    assert got == {1: ("failed", "bad_type"), 2: ("loaded", None), 3: ("loaded", None), 4: ("failed", "bad_type")}
+    assert read_sales(spark, sales_path).count() == 4
 
 
-def test_load_log_compaction_keeps_ids_contiguous(spark, scratch, monkeypatch):
+def test_ids_go_on_without_a_load_log(spark, scratch):
     import tillroll.sources.sales_table as st
-    monkeypatch.setattr(st, "LOG_COMPACT_FILES", 2)
     landing, sales_path = f"{scratch}/landing", f"{scratch}/sales"
-    days = ["2024-11-01", "2024-11-02", "2024-11-03", "2024-11-04"]
-    for d in days:
+    for d in ("2024-11-01", "2024-11-02", "2024-11-03"):
         land(landing, d, [day_rec(d, client=c) for c in (1, 2)])
-    for d in days:
-        ingest_dates(spark, landing, sales_path, [d])
-    ids = sorted(r.sale_id for r in read_sales(spark, sales_path).select("sale_id").collect())
-    assert ids == list(range(1, 9))
-    log = st.read_load_log(spark, sales_path)
-    assert log.count() == 4 and log.agg(F.max("max_sale_id")).first()[0] == 8
+    ingest_dates(spark, landing, sales_path, ["2024-11-01"])
+    log = st.read_log(spark, st.load_log_path(sales_path), st.LOAD_LOG_SCHEMA)
+    log.limit(0).write.mode("overwrite").parquet(st.load_log_path(sales_path))   # there, but empty
+    ingest_dates(spark, landing, sales_path, ["2024-11-02"])
+    ingest_dates(spark, landing, sales_path, ["2024-11-03"])
+    assert sorted(r.sale_id for r in read_sales(spark, sales_path).collect()) == [1, 2, 3, 4, 5, 6]
+    assert st.table_exists(spark, sales_path) and st.table_exists(spark, sales_path.removeprefix("file:"))
+    assert not st.table_exists(spark, f"{scratch}/nothing")
+
+
+def test_stored_types(spark, scratch):
+    landing, sales_path, marts = f"{scratch}/landing", f"{scratch}/sales", f"{scratch}/marts"
+    land(landing, "2024-12-01", [day_rec("2024-12-01")])
+    daily_load(spark, landing, sales_path, "2024-12-02", marts)
+    types = {f.name: f.dataType.simpleString() for f in spark.read.parquet(f"{marts}/daily_sales").schema}
+    assert types["revenue"] == "decimal(20,2)" and types["weighted_discount_pct"] == "decimal(8,2)"
+    types = {f.name: f.dataType.simpleString() for f in spark.read.parquet(f"{marts}/product_abc_xyz").schema}
+    assert types["variation_coefficient"] == "decimal(12,4)" and types["revenue_share"] == "decimal(12,8)"
+
+
+def test_command_line_keeps_submitted_settings(tmp_path):
+    import subprocess
+    import sys
+    code = ("from tillroll.session import submitted_session as s; c = s(); "
+            "print('GOT', c.sparkContext.master, c.conf.get('spark.sql.shuffle.partitions'))")
+    env = os.environ | {"PYSPARK_SUBMIT_ARGS": "--master local[2] --conf spark.sql.shuffle.partitions=777 --conf spark.ui.enabled=false pyspark-shell"}
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, env=env, capture_output=True, text=True, timeout=120)
+    assert "GOT local[2] 777" in out.stdout, out.stderr[-500:]
 
 
 def test_marts_as_sql_views(spark, scratch):

@@ -3,10 +3,10 @@
     python -m tillroll daily    --landing L --sales S --marts M [--as-of YYYY-MM-DD]
     python -m tillroll backfill --landing L --sales S [--start D] [--end D] [--marts M]
     python -m tillroll refresh  --sales S --marts M [--months YYYY-MM-01 ...]
-    python -m tillroll intake   --landing L --sales S [--marts M] [--checkpoint C]
+    python -m tillroll intake   --landing L --sales S --checkpoint C [--marts M]
 
-Each prints its status rows / summary.  The master and settings come from
-spark-submit (or the defaults of ``get_spark`` when run directly).
+Each prints its status rows / summary.  The master and all settings come from
+spark-submit; nothing here sets them.
 """
 
 from __future__ import annotations
@@ -35,33 +35,31 @@ def main(argv: list[str] | None = None) -> None:
         if name == "refresh":
             p.add_argument("--months", nargs="*")
         if name == "intake":
-            p.add_argument("--checkpoint")
+            p.add_argument("--checkpoint", required=True)
     args = ap.parse_args(argv)
 
-    from pyspark.sql import SparkSession
-
     from tillroll.plans import ingest
     from tillroll.plans.marts import refresh_marts
-    from tillroll.session import checkpoint_dir, get_spark
-    from tillroll.sources.sales_table import partition_dates, read_sales
+    from tillroll.session import submitted_session
+    from tillroll.sources.sales_table import date_versions, read_sales
 
-    active = SparkSession.getActiveSession()
-    spark = active or get_spark()
-    checkpoint_dir(spark)
+    spark = submitted_session()
     if args.cmd == "daily":
         status = ingest.daily_load(spark, args.landing, args.sales, args.as_of, args.marts, args.format)
         status.show(truncate=False)
     elif args.cmd == "backfill":
         status = ingest.backfill(spark, args.landing, args.sales, args.start, args.end, args.marts, args.format)
         ingest.run_summary(status).show(truncate=False)
-        status.where("status = 'failed'").show(50, truncate=False)
+        # every failed day: at most the calendar days asked for
+        for r in status.where("status = 'failed'").orderBy("batch_date").toLocalIterator():
+            print(r.batch_date, r.status, r.reason)
     elif args.cmd == "refresh":
         months = [dt.date.fromisoformat(m) for m in args.months] if args.months else None
         print(refresh_marts(read_sales(spark, args.sales), args.marts, months=months,
-                            all_dates=partition_dates(spark, args.sales)))
+                            versions=date_versions(spark, args.sales)))
     else:
         from tillroll.streaming.intake import start_intake
-        q = start_intake(spark, args.landing, args.sales, args.marts, args.checkpoint, args.format)
+        q = start_intake(spark, args.landing, args.sales, args.checkpoint, args.marts, args.format)
         q.awaitTermination()
 
 

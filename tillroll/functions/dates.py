@@ -22,21 +22,3 @@ def day_series(start: Column, stop: Column) -> Column:
     """Array of days start..stop; empty when start > stop or either is NULL."""
     return F.when(start <= stop, F.sequence(start, stop, F.expr("INTERVAL 1 DAY"))) \
         .otherwise(F.array().cast("array<date>"))
-
-
-def month_series(start: Column, stop: Column) -> Column:
-    """Array of month starts start..stop; empty when start > stop."""
-    return F.when(start <= stop, F.sequence(start, stop, F.expr("INTERVAL 1 MONTH"))) \
-        .otherwise(F.array().cast("array<date>"))
-
-
-def explode_days(bounds: DataFrame, start: str, stop: str, out: str) -> DataFrame:
-    """One row per day between two date columns of a (one-row) bounds frame."""
-    return bounds.select(F.explode(day_series(F.col(start), F.col(stop))).alias(out))
-
-
-def year_months(spark, year: int, out: str = "purchase_month") -> DataFrame:
-    """The twelve month starts of a year."""
-    lo = dt.date(year, 1, 1)
-    hi = dt.date(year, 12, 1)
-    return spark.range(1).select(F.explode(month_series(F.lit(lo), F.lit(hi))).alias(out))

@@ -4,15 +4,12 @@ A window with an ORDER BY and no PARTITION BY makes Spark move every row into
 one task.  ``global_prefix`` gives the same running sums and row numbers in
 parallel:
 
-1. the input is checkpointed (reliable storage) so the bounded metadata
-   actions below and the final plan read the same rows, and a lost executor
-   recomputes from the checkpoint, not from the raw scan;
-2. a sample of the sort key (about 100 rows per bucket, at most a few
-   hundred thousand rows in total) is collected and cut into ``B`` ranges;
-3. every row gets its bucket from a binary-search CASE over the cut tuples —
-   a deterministic function of the row, so recomputed tasks agree;
-4. a window partitioned by bucket gives local row numbers and running sums;
-5. per-bucket totals (``B`` rows) are turned into offsets and broadcast.
+1. the input is staged (written to shared storage) so the jobs below read the same rows, and a lost
+   executor reads them again rather than recomputing the raw scan;
+2. range partitioning cuts the order into ``B`` buckets of about ROWS_PER_BUCKET rows, as many as the
+   rows need; the rows are written with their bucket's number;
+3. a window partitioned by bucket gives local row numbers and running sums;
+4. per-bucket totals (``B`` rows) are turned into offsets and broadcast.
 
 The order must be total (unique on the order columns) when row numbers are
 used; equal tuples always share a bucket, so ties stay together.
@@ -20,20 +17,16 @@ used; equal tuples always share a bucket, so ties stay together.
 
 from __future__ import annotations
 
-import datetime as dt
 import math
-from decimal import Decimal
-from functools import cmp_to_key
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.numeric import INT, int_div
+from tillroll.session import staged
 
-ROWS_PER_BUCKET = 1_000_000
+ROWS_PER_BUCKET = 2_000_000
 MIN_BUCKETS = 8
-MAX_BUCKETS = 256  # binary-search CASE over 255 cut tuples still compiles to Java code
-SAMPLE_PER_BUCKET = 100
 
 
 class Key:
@@ -60,92 +53,19 @@ def desc(name: str, nulls_last: bool = False) -> Key:
     return Key(name, False, nulls_last)
 
 
-def _lit(v) -> Column:
-    if isinstance(v, (Decimal, dt.date, dt.datetime, str, bool)):
-        return F.lit(v)
-    if isinstance(v, int):
-        return F.lit(v).cast("bigint")
-    return F.lit(v)
-
-
-def _after(key: Key, v) -> tuple[Column, Column]:
-    """(row comes after v on this key, row equals v on this key)."""
-    c = F.col(key.name)
-    if v is None:
-        eq = c.isNull()
-        gt = F.lit(False) if key.nulls_last else c.isNotNull()
-        return gt, eq
-    lv = _lit(v)
-    strict = c > lv if key.ascending else c < lv
-    if key.nulls_last:
-        gt = c.isNull() | F.coalesce(strict, F.lit(False))
-    else:
-        gt = c.isNotNull() & F.coalesce(strict, F.lit(False))
-    return gt, F.coalesce(c == lv, F.lit(False))
-
-
-def _row_after_cut(keys: list[Key], cut: tuple) -> Column:
-    expr = None
-    for key, v in reversed(list(zip(keys, cut))):
-        gt, eq = _after(key, v)
-        expr = gt if expr is None else (gt | (eq & expr))
-    return expr
-
-
-def _compare(keys: list[Key]):
-    def cmp(a: tuple, b: tuple) -> int:
-        for key, x, y in zip(keys, a, b):
-            if x is None and y is None:
-                continue
-            if x is None or y is None:
-                x_first = (x is None) != key.nulls_last
-                return -1 if x_first else 1
-            if x == y:
-                continue
-            less = x < y if key.ascending else x > y
-            return -1 if less else 1
-        return 0
-    return cmp
-
-
-def _bucket_expr(keys: list[Key], cuts: list[tuple]) -> Column:
-    """Number of cut tuples that sort before the row (binary search)."""
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(_row_after_cut(keys, cuts[mid]), build(mid + 1, hi)).otherwise(build(lo, mid))
-    return build(0, len(cuts))
-
-
 def bucket_count(n: int) -> int:
-    """One sorted task up to ROWS_PER_BUCKET rows (size known from a count),
-    otherwise about ROWS_PER_BUCKET rows per bucket, capped."""
-    if n <= ROWS_PER_BUCKET:
-        return 1
-    return max(MIN_BUCKETS, min(MAX_BUCKETS, math.ceil(n / ROWS_PER_BUCKET)))
+    """About ROWS_PER_BUCKET rows a bucket, MIN_BUCKETS at least; as many as the rows need."""
+    return max(MIN_BUCKETS, math.ceil(n / ROWS_PER_BUCKET))
 
 
 def range_buckets(df: DataFrame, keys: list[Key], n: int, n_buckets: int | None = None,
                   out: str = "_bucket") -> DataFrame:
-    """Add a bucket column that is monotone in the order of ``keys``."""
+    """Add a bucket column that is monotone in the order of ``keys``; rows that are equal on the keys
+    share a bucket.  Spark's range partitioning cuts the buckets; they are written with their numbers,
+    so every later job sees the same ones."""
     b = n_buckets or bucket_count(n)
-    names = [k.name for k in keys]
-    if n == 0 or b <= 1:
-        return df.withColumn(out, F.lit(0))
-    frac = min(1.0, SAMPLE_PER_BUCKET * b / n)
-    sample = [tuple(r) for r in df.select(*names).sample(fraction=frac, seed=7).collect()]
-    sample.sort(key=cmp_to_key(_compare(keys)))
-    cuts: list[tuple] = []
-    for i in range(1, b):
-        if not sample:
-            break
-        c = sample[min(len(sample) - 1, (i * len(sample)) // b)]
-        if not cuts or _compare(keys)(cuts[-1], c) < 0:
-            cuts.append(c)
-    if not cuts:
-        return df.withColumn(out, F.lit(0))
-    return df.withColumn(out, _bucket_expr(keys, cuts))
+    dealt = df.repartitionByRange(b, *[k.sort_col() for k in keys])
+    return staged(dealt.withColumn(out, F.spark_partition_id()), "buckets")
 
 
 def global_prefix(df: DataFrame, keys: list[Key], sum_cols: list[str] = (),
@@ -158,31 +78,19 @@ def global_prefix(df: DataFrame, keys: list[Key], sum_cols: list[str] = (),
 
     ``n``: the row count when the caller already knows it (skips a job)."""
     if materialize:
-        df = df.checkpoint(eager=True)
+        df = staged(df, "ordered")
     if n is None:
         n = df.count()
-    b = n_buckets or bucket_count(n)
-    bucketed = range_buckets(df, keys, n, b)
+    bucketed = range_buckets(df, keys, n, n_buckets)
 
     w = Window.partitionBy("_bucket").orderBy(*[k.sort_col() for k in keys])
     frame = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = bucketed.withColumn("_local_rn", F.row_number().over(w))
     for c in sum_cols:
         local = local.withColumn(f"_local_{c}", F.sum(c).over(frame))
-    if b <= 1:
-        # n is at most ROWS_PER_BUCKET (counted above): one sorted task, no offsets.
-        whole = Window.partitionBy("_bucket")
-        cols = [F.col(c) for c in df.columns]
-        cols.append(F.col("_local_rn").cast("bigint").alias(row_no))
-        cols.append(F.lit(n).cast("bigint").alias(n_rows))
-        for c in sum_cols:
-            cols.append(F.coalesce(F.col(f"_local_{c}"), F.lit(0)).alias(f"{running}{c}"))
-            cols.append(F.sum(c).over(whole).alias(f"{total}{c}"))
-        return local.select(*cols)
-
     totals = bucketed.groupBy("_bucket").agg(
         F.count(F.lit(1)).alias("_b_cnt"), *[F.sum(c).alias(f"_b_{c}") for c in sum_cols])
-    # Offsets over at most MAX_BUCKETS rows: a one-partition window on a tiny table.
+    # A row a bucket, n / ROWS_PER_BUCKET of them: a one-partition window on a tiny table, broadcast.
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(F.lit(0))
     offsets = totals.select(
@@ -201,27 +109,15 @@ def global_prefix(df: DataFrame, keys: list[Key], sum_cols: list[str] = (),
     return out.select(*cols)
 
 
-def cume_counts(df: DataFrame, value: str, out: str, ascending: bool = True,
-                nulls_last: bool | None = None, n_buckets: int | None = None,
-                materialize: bool = True) -> DataFrame:
-    """Add ``out`` = number of rows whose value sorts at or before this row's
-    (the numerator of CUME_DIST).  Works on distinct values, so heavy ties
-    cost one row each; the distinct table joins back on the value."""
-    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_cnt"))
-    pref = global_prefix(counts, [Key(value, ascending, nulls_last)], ["_cnt"], n_buckets, materialize)
-    lookup = pref.select(F.col(value).alias("_v"), F.col("running__cnt").alias(out))
-    joined = df.join(lookup, df[value].eqNullSafe(lookup["_v"]), "left")
-    return joined.drop("_v")
-
-
 def cume_counts_many(df: DataFrame, values: list[str], outs: list[str], n: int,
                      n_buckets: int | None = None) -> DataFrame:
-    """``cume_counts`` for several columns with one ordering pass.
+    """CUME_DIST's numerator (rows at or before this one's value) for several columns with one
+    ordering pass over their distinct values, so heavy ties cost one row each.
 
     The (column index, value) pairs of all columns are counted together and
     put in one order; column k's pairs follow the n rows of columns 0..k-1,
     so its at-or-before count is the running count minus k·n.  The small
-    distinct table is checkpointed and joined back once per column (AQE
+    distinct table is staged and joined back once per column (AQE
     broadcasts the joins whose side is small at run time)."""
     vtype = "decimal(38,6)"
     pairs = F.array(*[F.struct(F.lit(i).alias("_k"), F.col(v).cast(vtype).alias("_v"))
@@ -229,8 +125,8 @@ def cume_counts_many(df: DataFrame, values: list[str], outs: list[str], n: int,
     counts = (df.select(F.explode(pairs).alias("_p")).select("_p._k", "_p._v")
               .groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_cnt")))
     pref = global_prefix(counts, [asc("_k"), asc("_v")], ["_cnt"], n_buckets)
-    pref = pref.select("_k", "_v", (F.col("running__cnt") - F.col("_k") * F.lit(n)).alias("_le")) \
-        .checkpoint(eager=True)
+    pref = pref.select("_k", "_v", (F.col("running__cnt") - F.col("_k") * F.lit(n)).alias("_le"))
+    pref = staged(pref, "counts")
     out = df
     for i, (v, o) in enumerate(zip(values, outs)):
         look = pref.where(F.col("_k") == i).select(F.col("_v").alias(f"_v{i}"), F.col("_le").alias(o))

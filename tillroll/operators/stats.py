@@ -28,21 +28,27 @@ def pct_name(p: float) -> str:
     return f"p{int(round(p * 100)):02d}"
 
 
+def _holds(place):
+    """Whether a distinct value covers a 0-based place of its group's order."""
+    return place.between(F.col("_first"), F.col("_last"))
+
+
 def exact_percentiles(df: DataFrame, value: str, pcts: list[float], group_cols: list[str] = (),
                       names: list[str] | None = None, n_buckets: int | None = None) -> DataFrame:
     """One row per group: group columns + one column per percentile (NULLs skipped)."""
     names = names or [pct_name(p) for p in pcts]
     group_cols = list(group_cols)
-    d = (df.where(F.col(value).isNotNull()).select(*group_cols, value)
-         .withColumn("_tie", F.monotonically_increasing_id()))
-    ranked = global_prefix(d, [asc(g) for g in group_cols] + [asc(value), asc("_tie")], [], n_buckets)
+    # A row a distinct value: what is sorted doesn't grow with ties.
+    d = df.where(F.col(value).isNotNull()).groupBy(*group_cols, value).agg(F.count(F.lit(1)).alias("_cnt"))
+    ranked = global_prefix(d, [asc(g) for g in group_cols] + [asc(value)], ["_cnt"], n_buckets)
+    ranked = ranked.withColumn("_before", F.col("running__cnt") - F.col("_cnt"))
     if group_cols:
-        gstats = ranked.groupBy(*group_cols).agg(F.min("row_no").alias("_start"),
-                                                 F.count(F.lit(1)).alias("_n"))
-        j = ranked.join(gstats, group_cols)
+        gstats = ranked.groupBy(*group_cols).agg(F.min("_before").alias("_start"), F.sum("_cnt").alias("_n"))
+        j = ranked.join(F.broadcast(gstats), group_cols)  # a row a group: the callers group by class or column
     else:
-        j = ranked.withColumn("_start", F.lit(1)).withColumn("_n", F.col("n_rows"))
-    j = j.withColumn("_idx", F.col("row_no") - F.col("_start"))
+        j = ranked.withColumn("_start", F.lit(0)).withColumn("_n", F.col("total__cnt"))
+    j = j.withColumn("_first", F.col("_before") - F.col("_start")).withColumn(
+        "_last", F.col("running__cnt") - F.col("_start") - 1)
     positions = {}
     keep = None
     for p, name in zip(pcts, names):
@@ -50,13 +56,13 @@ def exact_percentiles(df: DataFrame, value: str, pcts: list[float], group_cols:
         lo = F.floor(pos).cast("bigint")
         hi = F.ceil(pos).cast("bigint")
         positions[name] = (lo, hi, pos - lo)
-        cond = (F.col("_idx") == lo) | (F.col("_idx") == hi)
+        cond = _holds(lo) | _holds(hi)
         keep = cond if keep is None else keep | cond
     near = j.where(keep)
     aggs = []
     for name, (lo, hi, frac) in positions.items():
-        aggs += [F.max(F.when(F.col("_idx") == lo, F.col(value))).alias(f"_{name}_lo"),
-                 F.max(F.when(F.col("_idx") == hi, F.col(value))).alias(f"_{name}_hi"),
+        aggs += [F.max(F.when(_holds(lo), F.col(value))).alias(f"_{name}_lo"),
+                 F.max(F.when(_holds(hi), F.col(value))).alias(f"_{name}_hi"),
                  F.max(frac).alias(f"_{name}_f")]
     g = near.groupBy(*group_cols).agg(*aggs)
     vtype = df.schema[value].dataType

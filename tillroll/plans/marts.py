@@ -8,6 +8,7 @@ through ``operators.ranks`` so no step runs in a single task.
 
 from __future__ import annotations
 
+import uuid
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +19,7 @@ from tillroll.functions.numeric import (INT, as_int, avg_half_up, cents, int_div
                                         ratio_half_up, sqrt_half_up)
 from tillroll.operators.ranks import asc, cume_counts_many, desc, global_prefix
 from tillroll.schema import ABC_A, ABC_B, XYZ_MART_X, XYZ_MART_Y
+from tillroll.session import staged
 
 D20 = "decimal(20,2)"
 
@@ -248,9 +250,9 @@ def product_abc_xyz(monthly: DataFrame, n_buckets: int | None = None) -> DataFra
                  ratio_half_up(cents(F.col("stddev_monthly_units")), cents(F.col("avg_monthly_units")),
                                4, precision=12))
 
-    metrics = metrics.checkpoint(eager=True)
+    metrics = staged(metrics, "products")
     n = metrics.count()
-    # Both orders run over the checkpointed product table with its known size.
+    # Both orders run over staged tables of known size.
     by_revenue = global_prefix(metrics, [desc("revenue"), asc("product_id")], ["revenue"], n_buckets,
                                materialize=False, n=n)
     shares = by_revenue.select(
@@ -260,8 +262,7 @@ def product_abc_xyz(monthly: DataFrame, n_buckets: int | None = None) -> DataFra
         ratio_half_up(cents(F.col("running_revenue")), cents(F.col("total_revenue")), 8, precision=12)
         .alias("cumulative_revenue_share"),
     )
-    by_cv = global_prefix(shares, [asc("variation_coefficient"), asc("product_id")], [], n_buckets,
-                          materialize=False, n=n)
+    by_cv = global_prefix(shares, [asc("variation_coefficient"), asc("product_id")], [], n_buckets, n=n)
     ranked = by_cv.withColumn("stability_percentile",
                               ratio_half_up(F.col("row_no"), F.col("n_rows"), 8, precision=12))
     abc = abc_class(F.col("cumulative_revenue_share"), Decimal(str(ABC_A)), Decimal(str(ABC_B)))
@@ -291,95 +292,116 @@ def in_months(date_col: Column, months) -> Column:
     return cond if cond is not None else F.lit(False)
 
 
-def _write_by_month(df: DataFrame, path: str, incremental: bool) -> None:
-    """Marts keyed by date or month are stored partitioned by month_start;
-    an incremental refresh replaces only the months it rebuilt."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic" if incremental else "static")
-    try:
-        df.write.mode("overwrite").partitionBy("month_start").parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+def _path(spark, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def _exists(spark, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    p, fs = _path(spark, path)
+    return fs.exists(p)
+
+
+def replace_table(df: DataFrame, path: str, by: list[str] = ()) -> None:
+    """Write beside the table, then swap folders: readers keep the old one until the new one is whole."""
+    spark = df.sparkSession
+    tag = uuid.uuid4().hex
+    new, fs = _path(spark, f"{path}__new-{tag}")
+    df.write.partitionBy(*by).parquet(new.toString())
+    here, _ = _path(spark, path)
+    old, _ = _path(spark, f"{path}__old-{tag}")
+    fs.mkdirs(here.getParent())
+    if fs.exists(here):
+        fs.rename(here, old)
+    if not fs.rename(new, here):
+        raise RuntimeError(f"could not put {new.toString()} in place")
+    fs.delete(old, True)
+
+
+def _coverage_path(out: str, name: str) -> str:
+    return f"{out.rstrip('/')}/_coverage/{name}"
+
+
+def covered_versions(spark, out: str, name: str) -> dict | None:
+    """The dates, and their versions, that a mart was last built from; None if that isn't known."""
+    path = _coverage_path(out, name)
+    return {r.purchase_date: r.version for r in spark.read.parquet(path).collect()} if _exists(spark, path) else None
 
 
-def _refresh_rfm(sales: DataFrame, out: str, path: str, new_dates: list | None,
-                 all_dates: set | None) -> None:
+def _cover(spark, out: str, name: str, versions: dict) -> None:
+    """Written after the mart, so an interrupted refresh leaves dates to rebuild, never a wrong claim."""
+    rows = spark.createDataFrame(sorted(versions.items()), "purchase_date date, version bigint")
+    replace_table(rows.coalesce(1), _coverage_path(out, name))
+
+
+def _refresh_by_month(build, sales: DataFrame, out: str, name: str, versions: dict, months: list) -> None:
+    """Rebuild the months with a date that was added or replaced since the mart was built (and ``months``);
+    all of them where the mart or its coverage is missing or a date has gone."""
+    spark = sales.sparkSession
+    path = f"{out.rstrip('/')}/{name}"
+    covered = covered_versions(spark, out, name) if _exists(spark, path) else None
+    if covered is None or set(covered) - set(versions):
+        replace_table(build(sales), path, ["month_start"])
+    else:
+        stale = {d.replace(day=1) for d, v in versions.items() if covered.get(d) != v} | set(months)
+        if stale:
+            (build(sales.where(in_months(F.col("purchase_date"), stale))).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("month_start").parquet(path))
+    _cover(spark, out, name, versions)
+
+
+def _refresh_rfm(sales: DataFrame, out: str, path: str, versions: dict) -> None:
     """RFM from the client-state table.
 
-    The state stores client totals and the set of dates they cover.  When the
-    covered dates plus ``new_dates`` are exactly the table's dates
-    (``all_dates``, from a listing of the partition folders), only the new
-    dates' rows are aggregated and merged — O(clients), not O(sales).
-    Anything else (no state, unknown dates, a gap) rebuilds the state from
-    the whole fact."""
+    The state stores client totals and the dates (with versions) that they cover.  When the table has
+    those and more, only the new dates' rows are aggregated and merged — O(clients), not O(sales).
+    Anything else (no state, a replaced or missing date) rebuilds the state from the whole fact."""
     spark = sales.sparkSession
     state_path = f"{out.rstrip('/')}/_client_state"
-    dates_path = f"{out.rstrip('/')}/_client_state_dates"
-    state = None
-    if new_dates is not None and all_dates is not None and _exists(spark, dates_path):
-        covered = {r.purchase_date for r in spark.read.parquet(dates_path).collect()}
-        if covered.isdisjoint(new_dates) and covered | set(new_dates) == set(all_dates):
-            old = spark.read.parquet(state_path)
-            if new_dates:
-                days = [F.lit(d).cast("date") for d in new_dates]
-                state = merge_client_aggregates(old, client_aggregates(
-                    sales.where(F.col("purchase_date").isin(days))))
-            else:
-                state = old
-    if state is None:
+    covered = covered_versions(spark, out, "_client_state") if _exists(spark, state_path) else None
+    if covered is None or any(versions.get(d) != v for d, v in covered.items()):
         state = client_aggregates(sales)
-        all_dates = all_dates if all_dates is not None else \
-            {r.purchase_date for r in sales.select("purchase_date").distinct().collect()}
-    # Materialized before the state folders are replaced (they may be read here).
-    state = state.checkpoint(eager=True)
-    # Coverage is cleared first and written last: an interrupted replacement
-    # leaves no coverage, so the next refresh rebuilds instead of merging.
-    marker = spark.createDataFrame([(d,) for d in sorted(all_dates)], "purchase_date date")
-    marker.limit(0).write.mode("overwrite").parquet(dates_path)
-    state.write.mode("overwrite").parquet(state_path)
-    marker.write.mode("overwrite").parquet(dates_path)
-    rfm_from_metrics(metrics_from_aggregates(state)).write.mode("overwrite").parquet(path)
+    else:
+        state = spark.read.parquet(state_path)
+        new = [F.lit(d).cast("date") for d in versions if d not in covered]
+        if new:
+            state = merge_client_aggregates(state, client_aggregates(sales.where(F.col("purchase_date").isin(new))))
+    if covered != versions:
+        # Coverage goes first and comes back last: an interrupted replacement is rebuilt, not merged again.
+        _cover(spark, out, "_client_state", {})
+        replace_table(state, state_path)
+        _cover(spark, out, "_client_state", versions)
+    replace_table(rfm_from_metrics(metrics_from_aggregates(spark.read.parquet(state_path))), path)
 
 
 def refresh_marts(sales: DataFrame, out: str, names: list[str] | None = None,
-                  months: list | None = None, new_dates: list | None = None,
-                  all_dates: set | None = None) -> dict[str, str]:
-    """Rebuild the marts in dependency order.
-
-    ``months``: month starts touched by the latest load.  Date- and
-    month-grain marts then rebuild only those months (dynamic partition
-    overwrite).  ``new_dates``: the dates that load added, ``all_dates``: the
-    table's dates; customer_rfm then merges only the new dates' client totals
-    into the stored client state before ranking.  Ranks always cover whole tables — the client state, and for
-    product_abc_xyz the stored monthly mart, never the raw fact.  Without
-    ``months`` (or when a mart is missing) everything is rebuilt."""
+                  months: list | None = None, versions: dict | None = None) -> dict[str, str]:
+    """Bring the marts up to the table, in dependency order.
+
+    ``versions``: the table's dates and their load versions (``date_versions``; without it, the dates of
+    ``sales``, each at version 0).  Each mart remembers the versions that it was built from and rebuilds what differs: date- and
+    month-grain marts by month (dynamic partition overwrite), customer_rfm by merging new dates into the
+    client state.  ``months`` are rebuilt in any case.  Ranks always cover whole tables — the client
+    state, and for product_abc_xyz the stored monthly mart, never the raw fact."""
     wanted = set(names or MART_ORDER)
     if "product_abc_xyz" in wanted:
         wanted.add("product_monthly_sales")
     spark = sales.sparkSession
+    if versions is None:
+        versions = {r.purchase_date: 0 for r in sales.select("purchase_date").distinct().collect()}
     paths: dict[str, str] = {}
     for name in MART_ORDER:
         if name not in wanted:
             continue
         path = f"{out.rstrip('/')}/{name}"
-        incremental = months is not None and _exists(spark, path)
-        src = sales.where(in_months(F.col("purchase_date"), months)) if incremental else sales
         if name == "daily_sales":
-            _write_by_month(daily_sales(src).withColumn("month_start", F.trunc("purchase_date", "MM")),
-                            path, incremental)
+            _refresh_by_month(lambda s: daily_sales(s).withColumn("month_start", F.trunc("purchase_date", "MM")),
+                              sales, out, name, versions, months or [])
         elif name == "product_monthly_sales":
-            _write_by_month(product_monthly_sales(src), path, incremental)
+            _refresh_by_month(product_monthly_sales, sales, out, name, versions, months or [])
         elif name == "customer_rfm":
-            _refresh_rfm(sales, out, path, new_dates if incremental else None, all_dates)
+            _refresh_rfm(sales, out, path, versions)
         else:
-            product_abc_xyz(spark.read.parquet(paths["product_monthly_sales"])) \
-                .write.mode("overwrite").parquet(path)
+            replace_table(product_abc_xyz(spark.read.parquet(paths["product_monthly_sales"])), path)
         paths[name] = path
     return paths

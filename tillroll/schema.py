@@ -10,16 +10,6 @@ REQUIRED_FIELDS = [
     "client_id", "gender", "purchase_datetime", "purchase_time_as_seconds_from_midnight",
     "product_id", "quantity", "price_per_item", "discount_per_item", "total_price",
 ]
-# Columns of a prepared batch, in table order.
-OUTPUT_COLUMNS = [
-    "client_id", "gender", "purchase_date", "purchase_time_seconds",
-    "product_id", "quantity", "price_per_item", "discount_per_item", "total_price",
-]
-# Renames applied to the API fields.
-RENAMES = {
-    "purchase_datetime": "purchase_date",
-    "purchase_time_as_seconds_from_midnight": "purchase_time_seconds",
-}
 # Nine ABC-XYZ classes in report order.
 CLASS_ORDER = ["AX", "AY", "AZ", "BX", "BY", "BZ", "CX", "CY", "CZ"]
 # Thresholds.
@@ -46,5 +36,3 @@ SALES_SCHEMA = T.StructType([
     T.StructField("total_price", T.DecimalType(16, 2), False),
     T.StructField("loaded_at", T.TimestampType(), False),
 ])
-
-SALES_COLUMNS = [f.name for f in SALES_SCHEMA.fields]

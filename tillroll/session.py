@@ -1,4 +1,4 @@
-"""Session helpers.
+"""Session helpers: ``get_spark`` for tests and the bench on one machine, ``submitted_session`` for jobs.
 
 On a cluster the checkpoint directory must be a shared folder named by
 ``spark.checkpoint.dir``; we only read it.  A private folder is created only
@@ -8,8 +8,9 @@ for local-mode sessions (tests, bench) that have none configured.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str = "local[8]", app: str = "tillroll",
@@ -61,32 +62,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def scale_settings(scan_bytes: int, executors: int, cores_per_executor: int,
-                   shuffle_fraction: float = 0.3, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Settings for a cluster run, sized from the bytes the largest job scans.
+def submitted_session(app: str = "tillroll") -> SparkSession:
+    """The session of a submitted job: master, partitions and memory are the submitter's."""
+    spark = SparkSession.builder.appName(app).getOrCreate()
+    checkpoint_dir(spark)
+    return spark
 
-    - shuffle partitions: the expected shuffle volume (``shuffle_fraction`` of
-      the scan after partial aggregation) in ~256 MB partitions, at least two
-      waves of the cluster's cores; AQE coalesces what turns out smaller;
-    - scan splits of 256 MB (fewer, larger tasks over big Parquet files);
-    - AQE skew handling: a partition 5× the median and above 512 MB is split;
-    - automatic broadcast up to 64 MB, decided by AQE from runtime sizes.
 
-    Pass the result to ``SparkSession.builder.config(map=...)`` or
-    spark-submit ``--conf``."""
-    slots = executors * cores_per_executor
-    shuffle = max(2 * slots, int(scan_bytes * shuffle_fraction / target_partition_bytes))
-    return {
-        "spark.sql.shuffle.partitions": str(shuffle),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
-        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
-        "spark.sql.parquet.aggregatePushdown": "true",
-        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-    }
+def staged(df: DataFrame, tag: str = "stage") -> DataFrame:
+    """Write ``df`` as Parquet under the checkpoint folder (shared on a cluster) and read it back: lineage
+    is cut, later jobs prune columns, and a lost executor loses nothing."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
