@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, language, mixing, near_dups, quality_model, quality_rules, token_counts, toxicity, vectors, warc
+from tillroll.llm import bpe, language, mixing, near_dups, oracle, quality_model, quality_rules, token_counts, toxicity, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,4 +67,4 @@ def all_queries() -> dict[str, Query]:
 
 
 def all_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)
