@@ -47,7 +47,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in files of the mixed order."""
-    return mixing.in_mixed_order(mixing.mix_sources(docs)).select(*docs.columns)
+    packed = docs.select("doc_id", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return mixing.in_mixed_order(mixing.mix_sources(packed)).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,6 +40,7 @@ MAX_LABELLED_ROWS = 60_000   # for the learned lexicons
 MAX_TRAIN_ROWS = 40_000      # for the linear classifier
 BASE_RATE = 0.05
 THRESHOLD = 0.3
+MOST_OFF = 0.15               # correlation beyond the model of pairs that count as independent
 LEARNED_VOTERS = 4
 LEARNED_WORDS = 400          # in all learned lexicons together
 MIN_TOXIC_DOCS = 3
@@ -201,21 +202,25 @@ def label_model(fires: np.ndarray, joint: np.ndarray, n: int, share: float) -> t
     cov = joint / n - np.outer(mean, mean)
     live = fires > 0
     free = np.outer(live, live) & ~np.eye(m, dtype=bool)
-    pairs = free.copy()
-    d = np.sqrt(np.maximum(mean * (1 - mean), 0)) * 0.5 + 1e-9
-    for _ in range(4):
+    deviation = np.sqrt(np.maximum(mean * (1 - mean), 0)) + 1e-12
+    # Start: d_i^2 = cov_ij cov_ik / cov_jk for every pair j, k; the median bears some correlated pairs.
+    d = deviation * 0.5
+    for i in np.flatnonzero(live):
+        others = np.flatnonzero(free[i])
+        squares = [cov[i, j] * cov[i, k] / cov[j, k] for x, j in enumerate(others) for k in others[x + 1:] if cov[j, k] > 1e-9]
+        if squares:
+            d[i] = max(1e-9, math.sqrt(max(0.0, float(np.median(squares)))))
+    for _ in range(3):
+        off = np.abs(cov - np.outer(d, d)) / np.outer(deviation, deviation)
+        pairs = free & (off < MOST_OFF)
         for _ in range(200):  # alternating least squares
             for i in np.flatnonzero(live):
                 w = d[pairs[i]]
                 d[i] = max(1e-9, (cov[i, pairs[i]] @ w) / (w @ w)) if w.size else d[i]
-        off = np.abs(cov - np.outer(d, d)) / np.sqrt(np.outer(mean * (1 - mean), mean * (1 - mean)) + 1e-12)
-        pairs = free & (off < 0.25)
-        if not pairs.any():
-            pairs = free
     spread = math.sqrt(share * (1 - share))
     toxic = np.clip(mean + (1 - share) * d / spread, 1e-4, 1 - 1e-4)
     clean = np.clip(mean - share * d / spread, 1 / (n + 2), 1 - 1e-4)
-    correlated = free & (off >= 0.25)
+    correlated = free & (off >= MOST_OFF)
     return toxic, clean, 1 / (1 + correlated.sum(1))
 
 
