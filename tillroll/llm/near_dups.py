@@ -14,8 +14,11 @@ component, and its document with the smallest id stays.
 4. Round one links each member of a key's bucket to the bucket's smallest id: as many pairs as
    members, however large the bucket.  Pairs far apart in size or signature are dropped, the others
    are confirmed on the full sets of the texts, and components are found by star contraction.
-5. Round two takes the buckets that still hold several components and confirms every pair over the
-   border of two components, so that no link between different texts is lost.
+5. Round two takes the buckets that still hold several components.  Their members meet once for each
+   smallest id (their home), in tiles of two blocks of a home.  A tile's task compares signatures of members
+   of different components and keeps the members that have anyone near; for those it then gets the
+   texts, confirms pairs nearest first, and skips pairs that are connected by then.  It returns links
+   that join components, never pairs, and no link between different texts is lost.
 
 Buckets are aggregated before they are joined and joins are left to adaptive skew splitting, so one key
 may hold a large part of all rows.  No link, component or signature goes to the driver.
@@ -44,6 +47,7 @@ SYMBOLS = CHUNKS * CHUNK_SYMBOLS
 MAX_DIFFERENT = 2 * CHUNKS - 1
 BLOCK = 8192  # shingles hashed at once
 KEPT_WORDS = 300_000
+TILE_BLOCK = 1024  # members of a home in a block
 _U = np.uint64
 
 
@@ -184,6 +188,95 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def _tiles(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of a tile next to each other, by id."""
+    at = ["home", "i", "j"]
+    return rows.select(*at, *columns).repartition(*at).sortWithinPartitions(*at, "id")
+
+
+def _groups(batches, n_keys: int = 3):
+    """Rows (dicts of lists) of one key after the other, over the borders of batches."""
+    key, rows = None, None
+    for batch in batches:
+        names = batch.schema.names
+        for at in range(0, batch.num_rows, 256):
+            for row in zip(*batch.slice(at, 256).to_pydict().values()):
+                if row[:n_keys] != key:
+                    if rows:
+                        yield key, dict(zip(names, map(list, zip(*rows))))
+                    key, rows = row[:n_keys], []
+                rows.append(row)
+    if rows:
+        yield key, dict(zip(names, map(list, zip(*rows))))
+
+
+def _near_pairs(group: dict) -> list[tuple[int, int, int]]:
+    """(differing nibbles, x, y), x < y: a tile's members of different components that could be linked."""
+    low = np.array([group["s0"], group["s1"], group["s2"]], np.int64).view(_U).T
+    size, root = np.array(group["n_shingles"]), np.array(group["root"])
+    found = []
+    ones = _U(0x1111111111111111)
+    for x in range(len(size) - 1):
+        rest = slice(x + 1, None)
+        y = np.flatnonzero((root[rest] != root[x]) & (100 * np.minimum(size[rest], size[x]) >= LINK_PCT * np.maximum(size[rest], size[x]))) + x + 1
+        if len(y):
+            d = low[y] ^ low[x]
+            d |= d >> _U(1)
+            d |= d >> _U(2)
+            count = np.bitwise_count(d & ones).sum(1)
+            found += [(int(c), x, int(k)) for c, k in zip(count, y) if c <= MAX_DIFFERENT]
+    return found
+
+
+def members_near(rows: DataFrame) -> DataFrame:
+    """The tiles' members that some member of another component is near to."""
+    columns = ["id", "root", "n_shingles", "s0", "s1", "s2"]
+
+    def run(batches):
+        import pyarrow as pa
+        for _, group in _groups(batches):
+            keep = sorted({k for _, x, y in _near_pairs(group) for k in (x, y)})
+            if keep:
+                yield pa.RecordBatch.from_pydict({n: pa.array([v[k] for k in keep], pa.int32() if n in "ij" else pa.int64()) for n, v in group.items()})
+
+    return _tiles(rows, columns).mapInArrow(run, "home long, i int, j int, " + ", ".join(f"{c} long" for c in columns))
+
+
+def tile_links(rows: DataFrame) -> DataFrame:
+    """Links (a, b) that join components of a tile's members, confirmed on the full sets."""
+    def run(batches):
+        import pyarrow as pa
+        shingler = Shingler()
+        for _, group in _groups(batches):
+            up: dict[int, int] = {}
+
+            def top(r):
+                while up.get(r, r) != r:
+                    r = up[r]
+                return r
+
+            sets: dict[int, np.ndarray] = {}
+            out = {"a": [], "b": []}
+            for _, x, y in sorted(_near_pairs(group)):
+                rx, ry = top(group["root"][x]), top(group["root"][y])
+                if rx == ry:
+                    continue
+                for k in (x, y):
+                    if k not in sets:
+                        sets[k] = shingler.shingles(shingler.words(group["text"][k] or ""))
+                small, large = sorted((sets[x], sets[y]), key=len)
+                at = np.minimum(large.searchsorted(small), len(large) - 1)
+                shared = int(np.count_nonzero(large[at] == small)) if len(small) else 0
+                if shared and 100 * shared >= LINK_PCT * (len(small) + len(large) - shared):
+                    up[max(rx, ry)] = min(rx, ry)
+                    out["a"].append(group["id"][x])
+                    out["b"].append(group["id"][y])
+            if out["a"]:
+                yield pa.RecordBatch.from_pydict(out)
+
+    return _tiles(rows, ["id", "root", "n_shingles", "s0", "s1", "s2", "text"]).mapInArrow(run, "a long, b long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of edges (a, b), root the smallest node of its component: large-star
     and small-star contraction until nothing changes; every step is a written table."""
@@ -212,8 +305,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = staged(classes.agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"),
                               F.first("s0").alias("s0"), F.first("s1").alias("s1"), F.first("s2").alias("s2")), "classes")
     facts = reps.select("id", "n_shingles", "s0", "s1", "s2")
-    keys = (all_rows.select("doc_id", "class", "keys").join(reps.select("class", "id"), "class")
-            .where("doc_id = id").select("id", F.explode("keys").alias("key")))
+    # a class is indexed by the row of its smallest id: ids are spread evenly, classes may be large
+    keys = (all_rows.select("doc_id", "keys").join(reps.select("id"), F.col("doc_id") == F.col("id"))
+            .select("id", F.explode("keys").alias("key")))
     buckets = keys.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least <> most")
     meeting = staged(keys.join(buckets.select("key", "least"), "key").select("key", "id", "least"), "buckets")
 
@@ -223,15 +317,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     labels = components(staged(confirmed(stars, texts), "links"))
 
-    placed = meeting.select("key", "id").join(labels, meeting["id"] == labels["node"], "left").select(
-        "key", "id", F.coalesce("root", "id").alias("root"))
+    placed = meeting.join(labels, meeting["id"] == labels["node"], "left").select(
+        "key", "id", F.col("least").alias("home"), F.coalesce("root", "id").alias("root"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
-    open_rows = staged(placed.join(mixed, "key").join(facts, "id"), "open-buckets")
-    border = (open_rows.alias("x").join(open_rows.alias("y"), F.col("x.key") == F.col("y.key"))
-              .where((F.col("x.id") < F.col("y.id")) & (F.col("x.root") != F.col("y.root")) & _near("x", "y"))
-              .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
-    border = staged(border.join(stars, ["a", "b"], "left_anti"), "border")
-    found = staged(confirmed(border, texts), "links")
+    members = staged(placed.join(mixed, "key", "left_semi").select("home", "id", "root").distinct(), "members")
+    blocks = members.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / TILE_BLOCK).cast("int").alias("blocks"))
+    dealt = members.join(blocks, "home").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
+        "home", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "root")
+    near = staged(members_near(dealt.join(facts, "id")), "near")
+    found = staged(tile_links(near.join(texts.withColumnRenamed("doc_id", "id"), "id")), "links")
     roots = labels.select(F.col("node").alias("id"), "root")
     joined = (found.join(roots.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a", "left")
               .join(roots.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b", "left")
