@@ -2,10 +2,10 @@
 
 ``percentile``/``median`` aggregates keep every value of a group in one
 buffer, so a global median of a billion-row table would run in one task.
-Here the values are ranked with ``global_prefix`` (parallel sort by group,
-value and a tie id), each group's start row and size come from a small
-aggregate, and only the two rows around each wanted position are kept —
-at most 2 × len(pcts) rows per group reach the final aggregate.
+Here the distinct values of each group are counted and put in one order with
+``global_prefix``; a value covers the places from its running count on, and
+only the values that cover a wanted position are kept — at most 2 × len(pcts)
+rows per group reach the final aggregate.
 
 Interpolation is linear between the neighbours (position (n - 1) p), the
 definition shared by pandas, numpy, DuckDB ``quantile_cont`` and Spark
@@ -22,6 +22,7 @@ from pyspark.sql.types import DecimalType
 
 from tillroll.functions.numeric import ratio_half_up, round_double, unscaled
 from tillroll.operators.ranks import asc, global_prefix
+from tillroll.session import staged
 
 
 def pct_name(p: float) -> str:
@@ -110,7 +111,7 @@ def describe_long(df: DataFrame, cols: list[str], pcts: list[float], scale: int
     (sample), min, the percentiles and max.  Mean is exact (rounded once to
     ``scale``), std is rounded to 4 places, percentiles are exact to
     ``scale + 2`` places."""
-    long = to_decimal_long(df, cols, scale).checkpoint(eager=True)
+    long = staged(to_decimal_long(df, cols, scale), "long")
     basic = long.groupBy("column").agg(
         F.count("value").alias("count"),
         F.sum(unscaled(F.col("value"), scale)).alias("_sum"),

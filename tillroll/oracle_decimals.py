@@ -18,6 +18,8 @@ DECIMAL_COLUMNS = {
     'customer_metrics': ['monetary', 'avg_sale_amount'],
     'customer_rfm': ['monetary', 'avg_sale_amount'],
     'cv_histogram': ['bin_start', 'bin_end'],
+    'daily_activity': ['revenue', 'sales_per_client', 'revenue_per_client'],
+    'daily_dynamics': ['revenue', 'gross_revenue', 'discount_amount', 'avg_sale_amount'],
     'daily_sales': ['gross_revenue', 'discount_amount', 'revenue', 'avg_sale_amount', 'weighted_discount_pct'],
     'describe_clients': ['mean', 'std', 'min', 'p10', 'p25', 'p50', 'p75', 'p90', 'p95', 'p99', 'max'],
     'describe_cv': ['mean', 'std', 'min', 'p10', 'p25', 'p50', 'p75', 'p90', 'max'],
@@ -29,9 +31,10 @@ DECIMAL_COLUMNS = {
     'existing_dates': [],
     'frequency_profile': ['revenue', 'clients_pct', 'revenue_pct'],
     'ingest_status': [],
+    'ingested_sales': ['revenue'],
     'key_contract': [],
-    'landed_verdicts': [],
     'kpis': ['revenue', 'avg_sale_amount'],
+    'landed_verdicts': [],
     'load_overview': [],
     'missing_dates': [],
     'monthly_demand_pivot': [],
@@ -43,6 +46,10 @@ DECIMAL_COLUMNS = {
     'product_totals': ['gross_revenue', 'discount_amount', 'revenue', 'weighted_discount_pct'],
     'product_variability': ['avg_monthly_units', 'stddev_monthly_units'],
     'quarantine': [],
+    'refreshed_customer_rfm': ['monetary', 'avg_sale_amount'],
+    'refreshed_daily_sales': ['gross_revenue', 'discount_amount', 'revenue', 'avg_sale_amount', 'weighted_discount_pct'],
+    'refreshed_product_abc_xyz': ['gross_revenue', 'discount_amount', 'revenue', 'weighted_discount_pct', 'avg_monthly_units', 'stddev_monthly_units', 'variation_coefficient', 'revenue_share', 'cumulative_revenue_share', 'stability_percentile'],
+    'refreshed_product_monthly_sales': ['gross_revenue', 'discount_amount', 'revenue'],
     'rfm_profile': ['avg_recency_days', 'avg_frequency', 'avg_active_months', 'avg_sale_amount', 'avg_revenue_per_client', 'revenue', 'clients_pct', 'revenue_pct'],
     'rfm_study': ['revenue', 'avg_sale_amount'],
     'rows_per_day': [],

@@ -21,6 +21,7 @@ from tillroll.operators.ranks import asc, desc, global_prefix
 from tillroll.operators.stats import describe_long, exact_percentiles, medians_by
 from tillroll.plans.marts import D20, with_amounts
 from tillroll.sources.sales_table import assert_unique
+from tillroll.session import staged
 from tillroll.schema import (ABC_A, ABC_B, DESCRIBE_PCTS, DESCRIBE_PCTS_SHORT, XYZ_CLASSIC_X,
                              XYZ_CLASSIC_Y)
 
@@ -45,21 +46,26 @@ def _pct_of_total(df: DataFrame, specs: dict[str, tuple[str, int]]) -> DataFrame
 
 # ------------------------------------------------------------ profile ------
 
-def sales_count_agg(unique_sale_ids: bool):
-    """Distinct sales.  On a table whose sale_id is unique (the key contract
-    of the loaded fact) a row count is the same number and needs no
-    distinct-expansion shuffle."""
-    return F.count(F.lit(1)) if unique_sale_ids else F.count_distinct("sale_id")
+def distinct_days(day: str = "purchase_date") -> Column:
+    """Distinct days of one year: a bit a day in six longs, merged map-side, no row expansion."""
+    place = f"(dayofyear({day}) - 1)"
+    words = [f"bit_count(bit_or(if({place} div 64 = {k}, shiftleft(1L, cast({place} % 64 as int)), 0L)))" for k in range(6)]
+    return F.expr(f"cast({' + '.join(words)} as bigint)")
 
 
-def product_profile(sales_year: DataFrame, unique_sale_ids: bool = False) -> DataFrame:
+def distinct_months(day: str = "purchase_date") -> Column:
+    """Distinct months of one year, likewise."""
+    return F.expr(f"cast(bit_count(bit_or(shiftleft(1, month({day})))) as bigint)")
+
+
+def product_profile(sales_year: DataFrame) -> DataFrame:
     s = with_amounts(sales_year)
     g = s.groupBy("product_id").agg(
-        sales_count_agg(unique_sale_ids).alias("sales_count"),
+        F.count(F.lit(1)).alias("sales_count"),  # sale_id is unique by the table's contract
         F.sum("quantity").cast("bigint").alias("units_sold"),
         F.count_distinct("client_id").alias("unique_clients"),
-        F.count_distinct("purchase_date").alias("active_days"),
-        F.count_distinct("purchase_month").alias("active_months"),
+        distinct_days().alias("active_days"),
+        distinct_months().alias("active_months"),
         F.min("purchase_date").alias("first_sale_date"),
         F.max("purchase_date").alias("last_sale_date"),
         F.sum("gross_revenue").cast(D20).alias("gross_revenue"),
@@ -182,7 +188,7 @@ def xyz_profile(sales_year: DataFrame, year: int) -> DataFrame:
         _cv(sx, sxx, m).alias("cv"),
     ).withColumn("xyz_class_classic", xyz_class(F.col("cv"), F.lit(Decimal(str(XYZ_CLASSIC_X))),
                                                 F.lit(Decimal(str(XYZ_CLASSIC_Y)))))
-    base = base.checkpoint(eager=True)
+    base = staged(base, "xyz")
     q = exact_percentiles(base, "cv", [0.25, 0.75], names=["cv_q25", "cv_q75"])
     out = base.crossJoin(F.broadcast(q))
     return out.withColumn("xyz_class", xyz_class(F.col("cv"), F.col("cv_q25"), F.col("cv_q75"))) \
@@ -294,13 +300,13 @@ def abc_xyz_matrix(summary: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------- discount response ---
 
-def product_month_discount(sales_year: DataFrame, unique_sale_ids: bool = False) -> DataFrame:
+def product_month_discount(sales_year: DataFrame) -> DataFrame:
     """Product-month table with the weighted discount %, the product's median
     over its months, and the level (above the median → high, else low).
     A product has at most 12 months, so its median window is bounded."""
     s = with_amounts(sales_year)
     g = s.groupBy("product_id", "purchase_month").agg(
-        sales_count_agg(unique_sale_ids).alias("sales_count"),
+        F.count(F.lit(1)).alias("sales_count"),  # sale_id is unique by the table's contract
         F.sum("quantity").cast("bigint").alias("units_sold"),
         F.sum("gross_revenue").cast(D20).alias("gross_revenue"),
         F.sum("discount_amount").cast(D20).alias("discount_amount"),

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.dates import explode_days
+from tillroll.session import staged
+from tillroll.sources.sales_table import existing_dates
 
 
 def load_overview(sales: DataFrame) -> DataFrame:
@@ -23,15 +25,11 @@ def rows_per_day(sales: DataFrame) -> DataFrame:
             .orderBy("purchase_date"))
 
 
-def loaded_dates(sales: DataFrame) -> DataFrame:
-    """Distinct loaded dates (partition values when the table is partitioned)."""
-    return sales.select("purchase_date").distinct()
-
-
 def missing_dates(sales: DataFrame) -> DataFrame:
-    """Calendar days between the first and last loaded day with no rows."""
-    bounds = sales.agg(F.min("purchase_date").alias("lo"), F.max("purchase_date").alias("hi"))
+    """Calendar days between the first and last loaded day with no rows.  The fact is read once, for
+    its dates."""
+    have = staged(existing_dates(sales), "dates")
+    bounds = have.agg(F.min("purchase_date").alias("lo"), F.max("purchase_date").alias("hi"))
     calendar = explode_days(bounds, "lo", "hi", "expected_date")
-    have = loaded_dates(sales)
     return (calendar.join(have, calendar["expected_date"] == have["purchase_date"], "left_anti")
             .orderBy("expected_date"))

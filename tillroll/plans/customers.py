@@ -10,14 +10,15 @@ from tillroll.functions.classes import rfm_segment_study
 from tillroll.functions.numeric import as_int, cents, ratio_half_up, unscaled
 from tillroll.operators.ranks import asc, desc, global_prefix, quantile_score
 from tillroll.operators.stats import describe_long
-from tillroll.plans.assortment import sales_count_agg
+from tillroll.plans.assortment import distinct_days, distinct_months
 from tillroll.plans.marts import D20, with_amounts
+from tillroll.session import staged
 from tillroll.schema import DESCRIBE_PCTS, PARETO_SHARES
 
 R6 = 6
 
 
-def client_profile(sales_year: DataFrame, analysis_date, unique_sale_ids: bool = False) -> DataFrame:
+def client_profile(sales_year: DataFrame, analysis_date) -> DataFrame:
     """One row per client of the year.  ``gender`` is the gender of the
     client's first sale by sale id (a deterministic 'first')."""
     s = with_amounts(sales_year)
@@ -25,9 +26,9 @@ def client_profile(sales_year: DataFrame, analysis_date, unique_sale_ids: bool =
         F.min_by("gender", "sale_id").alias("gender"),
         F.min("purchase_date").alias("first_purchase_date"),
         F.max("purchase_date").alias("last_purchase_date"),
-        sales_count_agg(unique_sale_ids).alias("frequency"),
-        F.count_distinct("purchase_date").alias("active_days"),
-        F.count_distinct("purchase_month").alias("active_months"),
+        F.count(F.lit(1)).alias("frequency"),
+        distinct_days().alias("active_days"),
+        distinct_months().alias("active_months"),
         F.sum("quantity").cast("bigint").alias("units_purchased"),
         F.sum("gross_revenue").cast(D20).alias("gross_revenue"),
         F.sum("discount_amount").cast(D20).alias("discount_amount"),
@@ -113,8 +114,8 @@ def pareto_summary(profile: DataFrame, shares=PARETO_SHARES, n_buckets: int | No
 def rfm_study(profile: DataFrame, n_buckets: int | None = None) -> DataFrame:
     """R and M from quintiles of rank-first order (R reversed), F from fixed
     purchase-count bands; the segment comes from the two-digit RF code."""
-    base = profile.select("client_id", "recency_days", "frequency", "active_months", "revenue",
-                          "avg_sale_amount").checkpoint(eager=True)
+    base = staged(profile.select("client_id", "recency_days", "frequency", "active_months", "revenue",
+                                 "avg_sale_amount"), "clients")
     r = global_prefix(base, [asc("recency_days"), asc("client_id")], [], n_buckets, materialize=False)
     r = r.withColumn("r_score", (6 - quantile_score(F.col("row_no"), F.col("n_rows"))).cast("int")) \
         .drop("row_no", "n_rows")

@@ -42,9 +42,9 @@ def _period(col: str, grain: str):
     return c if unit is None else F.date_trunc(unit, c).cast("date")
 
 
-def sales_dynamics(daily: DataFrame, grain: str = "month") -> DataFrame:
-    """Revenue and sales series rolled up from the daily mart."""
-    g = daily.groupBy(_period("purchase_date", grain).alias("period_start")).agg(
+def sales_dynamics(daily: DataFrame, grain: str = "month", start=None, end=None) -> DataFrame:
+    """Revenue and sales series rolled up from the daily mart, of a period where one is given."""
+    g = (daily if start is None else in_period(daily, start, end)).groupBy(_period("purchase_date", grain).alias("period_start")).agg(
         F.sum("sales_count").cast("bigint").alias("sales_count"),
         F.sum("units_sold").cast("bigint").alias("units_sold"),
         F.sum("revenue").cast(D20).alias("revenue"),
@@ -54,9 +54,9 @@ def sales_dynamics(daily: DataFrame, grain: str = "month") -> DataFrame:
     return g.withColumn("avg_sale_amount", avg_half_up(cents(F.col("revenue")), F.col("sales_count"), 2, 2))
 
 
-def client_activity(sales: DataFrame, grain: str = "month") -> DataFrame:
-    """Active clients per period, with purchases per active client."""
-    g = sales.groupBy(_period("purchase_date", grain).alias("period_start")).agg(
+def client_activity(sales: DataFrame, grain: str = "month", start=None, end=None) -> DataFrame:
+    """Active clients per period, with purchases per active client; of a period where one is given."""
+    g = (sales if start is None else in_period(sales, start, end)).groupBy(_period("purchase_date", grain).alias("period_start")).agg(
         F.count_distinct("client_id").alias("active_clients"),
         F.count(F.lit(1)).alias("sales_count"),
         F.sum("total_price").cast(D20).alias("revenue"),

@@ -138,12 +138,12 @@ def metrics_from_aggregates(agg: DataFrame, analysis_date=None) -> DataFrame:
 def customer_metrics(sales: DataFrame, analysis_date=None, materialize: bool = True) -> DataFrame:
     """One row per client; recency against the latest sale date (or a given date).
 
-    The client totals are checkpointed once: the latest date is read from
+    The client totals are staged once: the latest date is read from
     them, so the fact is scanned a single time (two branches of one aggregate
     with different column pruning would each scan it)."""
     agg = client_aggregates(sales)
     if materialize:
-        agg = agg.checkpoint(eager=True)
+        agg = staged(agg, "clients")
     return metrics_from_aggregates(agg, analysis_date)
 
 

@@ -6,6 +6,8 @@ so its work grows with them.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +19,10 @@ from tillroll.plans import customers as C
 from tillroll.session import checkpoint_dir, staged
 from tillroll.functions.dates import day_series
 from tillroll.plans import ingest
-from tillroll.sources.batches import validate_batches
-from tillroll.sources.fixture import (LOADED_BEFORE, STUDY_ANALYSIS_DATE, STUDY_YEAR, fixture_records,
-                                      fixture_sales)
-from tillroll.sources.sales_table import assert_unique, existing_dates
+from tillroll.sources.batches import read_day_batches, validate_batches
+from tillroll.sources.fixture import (INGEST_PERIOD, LOADED_BEFORE, STUDY_ANALYSIS_DATE, STUDY_YEAR, fixture_records,
+                                      fixture_sales, land_fixture_records, plain_records)
+from tillroll.sources.sales_table import date_versions, existing_dates, read_sales
 
 PERIOD = (f"{STUDY_YEAR}-01-01", f"{STUDY_YEAR}-12-31")
 
@@ -64,6 +66,8 @@ def _dashboard_queries() -> dict[str, Query]:
         "kpis": lambda s, d: dashboard.kpis(_sales(s, d), *PERIOD),
         "sales_dynamics": lambda s, d: dashboard.sales_dynamics(marts.daily_sales(_sales(s, d)), "month"),
         "client_activity": lambda s, d: dashboard.client_activity(_sales(s, d), "month"),
+        "daily_dynamics": lambda s, d: dashboard.sales_dynamics(marts.daily_sales(_sales(s, d)), "day", *PERIOD),
+        "daily_activity": lambda s, d: dashboard.client_activity(_sales(s, d), "day", *PERIOD),
         "segment_breakdown": lambda s, d: dashboard.segment_breakdown(marts.customer_rfm(_sales(s, d))),
         "class_breakdown": lambda s, d: dashboard.class_breakdown(abc(s, d)),
         "top_products": lambda s, d: dashboard.top_products(abc(s, d), 10),
@@ -71,50 +75,58 @@ def _dashboard_queries() -> dict[str, Query]:
 
 
 def _year(s, d):
-    return A.read_year(_sales(s, d), STUDY_YEAR)
+    """The study year's sales, written once: a study reads them several times."""
+    return staged(A.read_year(_sales(s, d), STUDY_YEAR), "year")
 
 
 def _profile(s, d):
-    return A.product_profile(_year(s, d))
+    return A.product_profile(A.read_year(_sales(s, d), STUDY_YEAR))
 
 
-def _abc(s, d):
-    return A.abc_profile(_profile(s, d))
+def _staged_profile(s, d):
+    return staged(_profile(s, d), "profile")
 
 
 def _xyz(s, d):
-    return A.xyz_profile(_year(s, d), STUDY_YEAR)
+    return A.xyz_profile(A.read_year(_sales(s, d), STUDY_YEAR), STUDY_YEAR)
+
+
+def _abc_xyz_of(year):
+    return A.abc_xyz_profile(A.abc_profile(A.product_profile(year)), A.xyz_profile(year, STUDY_YEAR))
 
 
 def _abc_xyz(s, d):
-    return A.abc_xyz_profile(_abc(s, d), _xyz(s, d))
+    return staged(_abc_xyz_of(_year(s, d)), "abc-xyz")
 
 
 def _response(s, d):
-    return A.discount_response(A.product_month_discount(_year(s, d)), _abc_xyz(s, d))
+    year = _year(s, d)
+    return staged(A.discount_response(A.product_month_discount(year), _abc_xyz_of(year)), "response")
 
 
 def _clients(s, d):
-    return C.client_profile(_year(s, d), STUDY_ANALYSIS_DATE)
+    return C.client_profile(A.read_year(_sales(s, d), STUDY_YEAR), STUDY_ANALYSIS_DATE)
 
 
 def _study_queries() -> dict[str, Query]:
+    def rfm(s, d):
+        return C.rfm_study(_clients(s, d))
     return {
         "product_profile": _profile,
-        "assortment_summary": lambda s, d: A.assortment_summary(_profile(s, d)),
+        "assortment_summary": lambda s, d: A.assortment_summary(_staged_profile(s, d)),
         "describe_products": lambda s, d: A.describe_products(_profile(s, d)),
-        "abc_profile": _abc,
-        "abc_summary": lambda s, d: A.abc_summary(_abc(s, d)),
-        "monthly_demand_pivot": lambda s, d: A.monthly_demand_pivot(_year(s, d), STUDY_YEAR),
+        "abc_profile": lambda s, d: A.abc_profile(_profile(s, d)),
+        "abc_summary": lambda s, d: A.abc_summary(A.abc_profile(_profile(s, d))),
+        "monthly_demand_pivot": lambda s, d: A.monthly_demand_pivot(A.read_year(_sales(s, d), STUDY_YEAR), STUDY_YEAR),
         "xyz_profile": _xyz,
         "xyz_classic_counts": lambda s, d: A.xyz_classic_counts(_xyz(s, d)),
         "xyz_summary": lambda s, d: A.xyz_summary(_xyz(s, d)),
         "cv_histogram": lambda s, d: A.cv_histogram(_xyz(s, d)),
         "describe_cv": lambda s, d: A.describe_cv(_xyz(s, d)),
-        "abc_xyz_profile": _abc_xyz,
+        "abc_xyz_profile": lambda s, d: _abc_xyz_of(_year(s, d)),
         "abc_xyz_summary": lambda s, d: A.abc_xyz_summary(_abc_xyz(s, d)),
         "abc_xyz_matrix": lambda s, d: A.abc_xyz_matrix(A.abc_xyz_summary(_abc_xyz(s, d))),
-        "product_month_discount": lambda s, d: A.product_month_discount(_year(s, d)),
+        "product_month_discount": lambda s, d: A.product_month_discount(A.read_year(_sales(s, d), STUDY_YEAR)),
         "discount_response": _response,
         "discount_summary": lambda s, d: A.discount_summary(_response(s, d)),
         "discount_means": lambda s, d: A.discount_means(_response(s, d)),
@@ -125,46 +137,92 @@ def _study_queries() -> dict[str, Query]:
         "frequency_profile": lambda s, d: C.frequency_profile(_clients(s, d)),
         "client_pareto": lambda s, d: C.client_pareto(_clients(s, d)),
         "pareto_summary": lambda s, d: C.pareto_summary(_clients(s, d)),
-        "rfm_study": lambda s, d: C.rfm_study(_clients(s, d)),
-        "rfm_profile": lambda s, d: C.rfm_profile(C.rfm_study(_clients(s, d))),
+        "rfm_study": rfm,
+        "rfm_profile": lambda s, d: C.rfm_profile(rfm(s, d)),
     }
 
 
-def _validated(s, d):
-    return validate_batches(fixture_records(s, d))
+def _validated(s, d, sales=None):
+    return validate_batches(fixture_records(s, d, sales), materialize=True)
+
+
+def _folder(s, tag):
+    return f"{checkpoint_dir(s).rstrip('/')}/{tag}-{uuid.uuid4().hex[:8]}"
 
 
 def _landed_verdicts(s, d):
     """S-01 end to end: land the derived records as JSON-array files in the
     session's checkpoint folder, read them back, verdict per date."""
-    import uuid
-    from tillroll.sources.batches import read_day_batches
-    from tillroll.sources.fixture import land_fixture_records
-    root = f"{checkpoint_dir(s).rstrip('/')}/landing-{uuid.uuid4().hex[:8]}"
-    land_fixture_records(fixture_records(s, d).checkpoint(eager=True), root)
+    root = _folder(s, "landing")
+    land_fixture_records(staged(fixture_records(s, d), "records"), root)
     records, files = read_day_batches(s, root)
     return validate_batches(records, files)[2]
 
 
 def _ingest_status(s, d):
-    sales = _sales(s, d)
+    sales = staged(_sales(s, d), "sales")
     bounds = sales.agg(F.min("purchase_date").alias("a"), F.max("purchase_date").alias("b"))
     requested = bounds.select(F.explode(day_series(F.col("a"), F.col("b"))).alias("batch_date"))
     loaded = existing_dates(sales.where(F.col("purchase_date") < F.lit(LOADED_BEFORE).cast("date")))
-    return ingest.plan_ingest(requested, loaded, _validated(s, d)[2])
+    return staged(ingest.plan_ingest(requested, loaded, _validated(s, d, sales)[2]), "status")
+
+
+def _months_of_sales(s, d):
+    """The fixture's dates of two months around a month's end, as landed records without defects."""
+    sales = _sales(s, d).where(F.col("purchase_date").between(*[F.lit(x).cast("date") for x in INGEST_PERIOD]))
+    return staged(plain_records(sales), "records")
+
+
+def _ingested(s, d):
+    """Land, ingest in two runs (the second with late files), read back: the records of even sale ids
+    land first, the others later, so every date is loaded and then loaded again whole."""
+    records, root, sales_path = _months_of_sales(s, d), _folder(s, "landing"), _folder(s, "sales")
+    dates = [r.d for r in records.select(F.col("batch_date").alias("d")).distinct().orderBy("d").collect()]  # calendar days
+    land_fixture_records(records.where("pos % 2 = 0"), f"{root}")
+    ingest.ingest_dates(s, root, sales_path, dates)
+    land_fixture_records(records.where("pos % 2 <> 0"), f"{root}", mode="append")
+    ingest.ingest_dates(s, root, sales_path, dates)
+    return sales_path, dates
+
+
+def _ingested_sales(s, d):
+    """S-03, S-05, S-07: the loaded columns, and per date that ids are distinct and consecutive."""
+    sales_path, _ = _ingested(s, d)
+    sales = read_sales(s, sales_path)
+    return sales.groupBy("purchase_date").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("sale_id").alias("ids"),
+        (F.max("sale_id") - F.min("sale_id") + 1).alias("id_range"), F.sum("quantity").cast("bigint").alias("units"),
+        F.sum("client_id").cast("bigint").alias("client_sum"), F.sum("product_id").cast("bigint").alias("product_sum"),
+        F.sum("total_price").cast("decimal(20,2)").alias("revenue"))
+
+
+def _refreshed(name):
+    def query(s, d):
+        """S-06, Q-13: marts built after one date, then dates loaded without a refresh, then a daily run."""
+        records, root = _months_of_sales(s, d), _folder(s, "landing")
+        sales_path, out = _folder(s, "sales"), _folder(s, "marts")
+        dates = [r.d for r in records.select(F.col("batch_date").alias("d")).distinct().orderBy("d").collect()]  # calendar days
+        land_fixture_records(records, root)
+        ingest.ingest_dates(s, root, sales_path, dates[1:2])
+        marts.refresh_marts(read_sales(s, sales_path), out, versions=date_versions(s, sales_path))
+        ingest.ingest_dates(s, root, sales_path, dates[:-1])
+        ingest.daily_load(s, root, sales_path, dates[-1] + dt.timedelta(days=1), out)
+        got = s.read.parquet(f"{out}/{name}")
+        return got.drop("month_start") if name == "daily_sales" else got
+    return query
 
 
 def _key_contract(s, d):
-    sales = _sales(s, d)
-    monthly = _monthly(s, d)
+    sales = staged(_sales(s, d), "sales")
+    monthly = staged(marts.product_monthly_sales(sales), "monthly")
     specs = [("daily_sales", marts.daily_sales(sales), ["purchase_date"]),
              ("product_monthly_sales", monthly, ["month_start", "product_id"]),
              ("customer_rfm", marts.customer_rfm(sales), ["client_id"]),
              ("product_abc_xyz", marts.product_abc_xyz(monthly), ["product_id"])]
     out = None
     for name, df, keys in specs:
-        row = df.agg(F.count(F.lit(1)).alias("rows")).crossJoin(
-            assert_unique(df, keys).agg(F.count(F.lit(1)).alias("duplicate_keys")))
+        groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        row = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count_if(F.col("n") > 1).alias("duplicate_keys"))
         row = row.select(F.lit(name).alias("mart"), "rows", "duplicate_keys")
         out = row if out is None else out.unionByName(row)
     return out
@@ -179,6 +237,8 @@ def _ingest_queries() -> dict[str, Query]:
         "backfill_summary": lambda s, d: ingest.run_summary(_ingest_status(s, d)),
         "existing_dates": lambda s, d: existing_dates(_sales(s, d)),
         "key_contract": _key_contract,
+        "ingested_sales": _ingested_sales,
+        **{f"refreshed_{name}": _refreshed(name) for name in marts.MART_ORDER},
     }
 
 

@@ -63,6 +63,7 @@ BAD_TIME_MOD = 2003                   # time of day 86400
 BAD_QUANTITY_MOD = 7001               # quantity 40000 (outside SMALLINT)
 BAD_TOTAL_MOD = 1009                  # total_price off by 0.01
 LOADED_BEFORE = "1996-01-01"          # dates before this are already in the table
+INGEST_PERIOD = ("1996-01-25", "1996-03-05")  # dates that the write-side queries land and load
 # ---------------------------------------------------------------------------
 
 
@@ -71,10 +72,10 @@ def _hms(t):
     return F.concat_ws(":", two(F.floor(t / 3600)), two(F.floor(t % 3600 / 60)), two(t % 60))
 
 
-def fixture_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fixture_records(spark: SparkSession, sf_dir: str, sales: DataFrame | None = None) -> DataFrame:
     """The fixture sales as landed API records (batch_date, file, pos, rec
     map<string,string>) with rule-based defects; every sale becomes a record."""
-    s = fixture_sales(spark, sf_dir)
+    s = fixture_sales(spark, sf_dir) if sales is None else sales
     sid = F.col("sale_id")
     day = F.col("purchase_date")
     shown_day = (F.when(sid % NEXT_DAY_MOD == 0, F.date_add(day, 1)).otherwise(day)).cast("string")
@@ -97,10 +98,21 @@ def fixture_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                     sid.alias("pos"), rec.alias("rec"))
 
 
+def plain_records(sales: DataFrame) -> DataFrame:
+    """Sales as API records without defects."""
+    pairs = [("client_id", F.col("client_id")), ("gender", F.col("gender")),
+             ("purchase_datetime", F.concat_ws(" ", F.col("purchase_date").cast("string"), _hms(F.col("purchase_time_seconds")))),
+             ("purchase_time_as_seconds_from_midnight", F.col("purchase_time_seconds")), ("product_id", F.col("product_id")),
+             ("quantity", F.col("quantity")), ("price_per_item", F.col("price_per_item")),
+             ("discount_per_item", F.col("discount_per_item")), ("total_price", F.col("total_price"))]
+    rec = F.create_map(*[x for k, v in pairs for x in (F.lit(k), v.cast("string"))])
+    return sales.select(F.col("purchase_date").alias("batch_date"), F.lit("plain").alias("file"), F.col("sale_id").alias("pos"), rec.alias("rec"))
+
+
 RECORDS_PER_FILE = 5000
 
 
-def land_fixture_records(records: DataFrame, root: str) -> None:
+def land_fixture_records(records: DataFrame, root: str, mode: str = "overwrite") -> None:
     """Land API records as the source receives them: JSON arrays, one array per
     file under ``batch_date=...``.  A date is split into
     ceil(rows / RECORDS_PER_FILE) arrays by a hash of the record, so no array
@@ -114,4 +126,4 @@ def land_fixture_records(records: DataFrame, root: str) -> None:
     from tillroll.sources.sales_table import write_tasks
     (arrays.select("batch_date", "value", "_chunk")
      .repartition(write_tasks(records.sparkSession), "batch_date", "_chunk").drop("_chunk")
-     .write.mode("overwrite").option("maxRecordsPerFile", 1).partitionBy("batch_date").text(root))
+     .write.mode(mode).option("maxRecordsPerFile", 1).partitionBy("batch_date").text(root))
