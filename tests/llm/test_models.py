@@ -104,13 +104,13 @@ def test_language_on_held_out_rows(spark):
 
 def test_language_on_odd_rows(spark):
     rows = [(i, "the and of with " * 5) for i in range(40, 60)] + [(i, "der die und mit " * 5) for i in range(60, 80)]
-    df = docs_frame(spark, DOCS + rows + [(90, "12 34 !!")]).withColumn(
+    df = docs_frame(spark, DOCS + rows + [(90, "12 34 !!"), (91, "² ½ Ⅷ")]).withColumn(
         "lang", F.when(F.col("doc_id") >= 60, "de").when(F.col("doc_id") >= 40, "en").when(F.col("doc_id") == 1, "").otherwise(None))
     got = {r.doc_id: r for r in language.languages(df).where("doc_id is not null").collect()}
-    assert all(got[i].lang_pred == "und" and got[i].score == 0 for i in (2, 3, 4, 90))
+    assert all(got[i].lang_pred == "und" and got[i].score == 0 for i in (2, 3, 4, 90, 91))
     assert all(got[i].lang_pred == ("de" if i >= 60 else "en") for i in range(40, 80))
     nothing = language.languages(df.withColumn("lang", F.lit(None).cast("string"))).collect()
-    assert len(nothing) == len(DOCS) + 41 and {r.lang_pred for r in nothing} == {"und"}
+    assert len(nothing) == len(DOCS) + 42 and {r.lang_pred for r in nothing} == {"und"}
     assert language.languages(empty_docs(spark)).count() == 0
 
 

@@ -36,7 +36,7 @@ _NOT_LETTERS = re.compile(r"[\W\d_]+")
 def ngram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """(columns, counts) of the letter n-grams of a whole text; none without a letter."""
     body = _NOT_LETTERS.sub(" ", text.lower()).strip()
-    if not body:
+    if not any(map(str.isalpha, body)):  # other numerals than digits are word characters too
         return np.zeros(0, np.int32), np.zeros(0)
     c = np.frombuffer(f" {body} ".encode("utf-32-le"), np.uint32)
     one = c[1:-1] * np.uint32(2654435761)
