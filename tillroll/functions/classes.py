@@ -34,6 +34,19 @@ STUDY_CODE_PATTERNS = [
     ("[4-5][2-3]", POTENTIAL),
     ("5[4-5]", CHAMPIONS),
 ]
+# The mart's segments in rule order, with the least and largest R, F and M score of each.
+MART_SEGMENTS = [
+    (CHAMPIONS, (4, 5), (4, 5), (4, 5)),
+    (CANNOT_LOSE, (1, 2), (5, 5), (4, 5)),
+    (AT_RISK, (1, 2), (3, 5), (1, 5)),
+    (LOYAL, (3, 5), (4, 5), (1, 5)),
+    (POTENTIAL, (4, 5), (2, 3), (1, 5)),
+    (NEW, (5, 5), (1, 1), (1, 5)),
+    (PROMISING, (4, 4), (1, 1), (1, 5)),
+    (NEED_ATTENTION, (3, 3), (3, 5), (1, 5)),
+    (ABOUT_TO_SLEEP, (3, 3), (1, 2), (1, 5)),
+    (HIBERNATING, (1, 5), (1, 5), (1, 5)),
+]
 # --------------------------------------------------------------------------
 
 
@@ -51,18 +64,14 @@ def xyz_class(x: Column, cut_x, cut_y) -> Column:
 
 
 def rfm_segment_mart(r: Column, f: Column, m: Column) -> Column:
-    return (
-        F.when((r >= 4) & (f >= 4) & (m >= 4), CHAMPIONS)
-        .when((r <= 2) & (f == 5) & (m >= 4), CANNOT_LOSE)
-        .when((r <= 2) & (f >= 3), AT_RISK)
-        .when((r >= 3) & (f >= 4), LOYAL)
-        .when((r >= 4) & f.between(2, 3), POTENTIAL)
-        .when((r == 5) & (f == 1), NEW)
-        .when((r == 4) & (f == 1), PROMISING)
-        .when((r == 3) & (f >= 3), NEED_ATTENTION)
-        .when((r == 3) & (f <= 2), ABOUT_TO_SLEEP)
-        .otherwise(HIBERNATING)
-    )
+    """The first rule whose ranges hold the three scores."""
+    out = None
+    for name, *ranges in MART_SEGMENTS:
+        held = F.lit(True)
+        for score, (least, most) in zip((r, f, m), ranges):
+            held = held & score.between(least, most)
+        out = F.when(held, name) if out is None else out.when(held, name)
+    return out
 
 
 def rfm_segment_study(rf_code: Column) -> Column:
