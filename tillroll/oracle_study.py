@@ -4,11 +4,13 @@ a real product × 12-month grid."""
 
 from __future__ import annotations
 
+from tillroll.functions.classes import STUDY_CODE_PATTERNS
 from tillroll.oracle import c2i, down, hu, hu_sqrt, with_sales
+from tillroll.schema import CLASS_ORDER
 
 YEAR = 1998
 ANALYSIS_DATE = "1999-01-01"
-CLASS_LIST = "['AX','AY','AZ','BX','BY','BZ','CX','CY','CZ']"
+CLASS_LIST = str(CLASS_ORDER)
 PCTS = [0.10, 0.25, 0.50, 0.75, 0.90, 0.95, 0.99]
 PCTS_SHORT = [0.10, 0.25, 0.50, 0.75, 0.90]
 
@@ -196,16 +198,7 @@ rs AS (
 rfm_study AS (
   SELECT client_id, recency_days, frequency, active_months, revenue, avg_sale_amount, r_score, f_score,
     m_score, rf_score,
-    CASE WHEN regexp_full_match(rf_score, '[1-2][1-2]') THEN 'Hibernating'
-         WHEN regexp_full_match(rf_score, '[1-2][3-4]') THEN 'At risk'
-         WHEN regexp_full_match(rf_score, '[1-2]5') THEN 'Cannot lose'
-         WHEN regexp_full_match(rf_score, '3[1-2]') THEN 'About to sleep'
-         WHEN regexp_full_match(rf_score, '33') THEN 'Need attention'
-         WHEN regexp_full_match(rf_score, '[3-4][4-5]') THEN 'Loyal customers'
-         WHEN regexp_full_match(rf_score, '41') THEN 'Promising'
-         WHEN regexp_full_match(rf_score, '51') THEN 'New customers'
-         WHEN regexp_full_match(rf_score, '[4-5][2-3]') THEN 'Potential loyalists'
-         WHEN regexp_full_match(rf_score, '5[4-5]') THEN 'Champions'
+    CASE """ + " ".join(f"WHEN regexp_full_match(rf_score, '{pattern}') THEN '{name}'" for pattern, name in STUDY_CODE_PATTERNS) + """
          ELSE rf_score END AS rfm_segment
   FROM (SELECT *, CAST(r_score AS VARCHAR) || CAST(f_score AS VARCHAR) AS rf_score FROM rs))"""
 
