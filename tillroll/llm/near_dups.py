@@ -164,6 +164,8 @@ def _near(x: str, y: str) -> Column:
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose texts' full sets are linked."""
+    # one plan at every size: texts are dealt by id once, and both joins read that
+    texts = texts.hint("merge")
     both = (pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
             .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
             .select("a", "b", "text_a", "text_b"))
@@ -326,7 +328,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
         "home", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "root")
     near = staged(members_near(dealt.join(facts, "id")), "near")
-    found = staged(tile_links(near.join(texts.withColumnRenamed("doc_id", "id"), "id")), "links")
+    found = staged(tile_links(near.join(texts.withColumnRenamed("doc_id", "id").hint("merge"), "id")), "links")
     roots = labels.select(F.col("node").alias("id"), "root")
     joined = (found.join(roots.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a", "left")
               .join(roots.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b", "left")
