@@ -26,6 +26,7 @@ from tillroll.llm.common import new_folder
 from tillroll.llm.rows import map_slices
 
 MAX_TOKENS = 4096
+MAX_HOT, LEAST_HOT, SALTS = 1000, 256, 64  # hot digests at most; copies at least; parts of a hot digest
 CACHE_SCHEMA = "content binary, tokenizer string, n_tokens long"
 
 
@@ -92,5 +93,13 @@ def token_counts(docs: DataFrame, tokenizer: Counter, cache: str | None = None,
                              "n_tokens": count(rows["text"].to_pylist())}
 
     map_slices(misses, make, CACHE_SCHEMA).write.mode("append").parquet(cache)
-    return d.drop("text").join(known(), "content").select(
+    rows = d.drop("text")
+    sizes = rows.groupBy("content").agg(F.count(F.lit(1)).alias("copies"))
+    least = max(LEAST_HOT, docs.count() // MAX_HOT)
+    hot = F.broadcast(sizes.where(F.col("copies") > least).select("content", F.lit(True).alias("hot")))
+    rows = rows.join(hot, "content", "left").withColumn(
+        "salt", F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id", "n_bytes"), F.lit(SALTS)).cast("int")).otherwise(0))
+    counts = known().join(hot, "content", "left").select(
+        "content", "n_tokens", F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("salt"))
+    return rows.join(counts, ["content", "salt"]).select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > max_tokens).alias("over_limit"))
