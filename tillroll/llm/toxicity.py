@@ -68,7 +68,7 @@ PATTERNS = {
 COMMAND_WORDS = frozenset("shut hell lost drop kill screw piss hate nobody".split())
 KEPT_WORDS = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
-_MIXED = re.compile(r"[a-z][0-9!*@$][a-z]")
+_MIXED = re.compile(r"[a-z][0-9!*@$][a-z]")  # in every disguised form but [i1!]d[i1!]0t and scvm
 
 
 class Memo(dict):
@@ -136,7 +136,7 @@ class Voters:
         low = text.lower()
         mask = functools.reduce(operator.or_, map(self.known.__getitem__, set(_WORD.findall(low))), 0)
         tried = [*(("address", "intensified") if mask & self.insult else ()), *(("command",) if mask & self.command else ()),
-                 *(("disguised",) if _MIXED.search(low) else ())]
+                 *(("disguised",) if _MIXED.search(low) or "0t" in low or "scvm" in low else ())]
         for name in tried:  # each only where the text holds what the pattern needs
             if self.patterns[name].search(low):
                 mask |= self.bit[name]
