@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from tillroll.oracle import (ABC_XYZ_CTES, CUSTOMER_RFM_CTES, DAILY_SALES_CTE, MART_SQL, MONTHLY_CTE,
                              PRODUCT_TOTALS_CTE, VARIABILITY_CTES, with_sales)
-from tillroll.sources.fixture import INGEST_PERIOD
+from tillroll.sources.fixture import CUT_FILE_DAY, NON_LIST_DAY, ODD_FILE_DAYS
 
 RULES = """rules AS (
   SELECT purchase_date AS batch_date, client_id, product_id, quantity, total_price,
@@ -84,17 +84,9 @@ FROM status""",
 }
 
 
-def _of_period(sql: str) -> str:
-    """A query over the sales of the dates that the write-side queries land."""
-    head = sql.replace("WITH sales AS (", "WITH every_sale AS (", 1)
-    end = head.index("ON l_orderkey = o_orderkey))") + len("ON l_orderkey = o_orderkey))")
-    own = f"sales AS (SELECT * FROM every_sale WHERE purchase_date BETWEEN DATE '{INGEST_PERIOD[0]}' AND DATE '{INGEST_PERIOD[1]}')"
-    return f"{head[:end]},\n{own}{head[end:]}"
-
-
-INGEST_SQL["ingested_sales"] = _of_period(with_sales() + """SELECT purchase_date, count(*) AS rows, count(*) AS ids, count(*) AS id_range,
+INGEST_SQL["ingested_sales"] = with_sales() + f"""SELECT purchase_date, count(*) AS rows, count(*) AS ids, count(*) AS id_range,
   CAST(sum(quantity) AS BIGINT) AS units, CAST(sum(client_id) AS BIGINT) AS client_sum, CAST(sum(product_id) AS BIGINT) AS product_sum,
   CAST(sum(total_price) AS DECIMAL(20,2)) AS revenue
-FROM sales GROUP BY purchase_date""")
-INGEST_SQL |= {f"refreshed_{name}": _of_period(MART_SQL[name])
+FROM sales WHERE dayofyear(purchase_date) % {ODD_FILE_DAYS} NOT IN ({CUT_FILE_DAY}, {NON_LIST_DAY}) GROUP BY purchase_date"""
+INGEST_SQL |= {f"refreshed_{name}": MART_SQL[name]
                for name in ("daily_sales", "customer_rfm", "product_monthly_sales", "product_abc_xyz")}

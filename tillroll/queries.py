@@ -20,8 +20,8 @@ from tillroll.session import checkpoint_dir, staged
 from tillroll.functions.dates import day_series
 from tillroll.plans import ingest
 from tillroll.sources.batches import read_day_batches, validate_batches
-from tillroll.sources.fixture import (INGEST_PERIOD, LOADED_BEFORE, STUDY_ANALYSIS_DATE, STUDY_YEAR, fixture_records,
-                                      fixture_sales, land_fixture_records, plain_records)
+from tillroll.sources.fixture import (LOADED_BEFORE, STUDY_ANALYSIS_DATE, STUDY_YEAR, fixture_records, fixture_sales,
+                                      land_fixture_records, plain_records)
 from tillroll.sources.sales_table import date_versions, existing_dates, read_sales
 
 PERIOD = (f"{STUDY_YEAR}-01-01", f"{STUDY_YEAR}-12-31")
@@ -167,20 +167,20 @@ def _ingest_status(s, d):
     return staged(ingest.plan_ingest(requested, loaded, _validated(s, d, sales)[2]), "status")
 
 
-def _months_of_sales(s, d):
-    """The fixture's dates of two months around a month's end, as landed records without defects."""
-    sales = _sales(s, d).where(F.col("purchase_date").between(*[F.lit(x).cast("date") for x in INGEST_PERIOD]))
-    return staged(plain_records(sales), "records")
+def _all_records(s, d):
+    """Every sale of the fixture as an API record without defects."""
+    return staged(plain_records(_sales(s, d)), "records")
 
 
 def _ingested(s, d):
     """Land, ingest in two runs (the second with late files), read back: the records of even sale ids
-    land first, the others later, so every date is loaded and then loaded again whole."""
-    records, root, sales_path = _months_of_sales(s, d), _folder(s, "landing"), _folder(s, "sales")
+    land first, the others later, so every date is loaded and then loaded again whole.  Some dates have
+    odd files too: those with a cut or non-list file must not be loaded, those with multi-line files must."""
+    records, root, sales_path = _all_records(s, d), _folder(s, "landing"), _folder(s, "sales")
     dates = [r.d for r in records.select(F.col("batch_date").alias("d")).distinct().orderBy("d").collect()]  # calendar days
-    land_fixture_records(records.where("pos % 2 = 0"), f"{root}")
+    land_fixture_records(records.where("pos % 2 = 0"), f"{root}", odd_files=True)
     ingest.ingest_dates(s, root, sales_path, dates)
-    land_fixture_records(records.where("pos % 2 <> 0"), f"{root}", mode="append")
+    land_fixture_records(records.where("pos % 2 <> 0"), f"{root}", mode="append", odd_files=True)
     ingest.ingest_dates(s, root, sales_path, dates)
     return sales_path, dates
 
@@ -199,7 +199,7 @@ def _ingested_sales(s, d):
 def _refreshed(name):
     def query(s, d):
         """S-06, Q-13: marts built after one date, then dates loaded without a refresh, then a daily run."""
-        records, root = _months_of_sales(s, d), _folder(s, "landing")
+        records, root = _all_records(s, d), _folder(s, "landing")
         sales_path, out = _folder(s, "sales"), _folder(s, "marts")
         dates = [r.d for r in records.select(F.col("batch_date").alias("d")).distinct().orderBy("d").collect()]  # calendar days
         land_fixture_records(records, root)

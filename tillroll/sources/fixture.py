@@ -63,7 +63,8 @@ BAD_TIME_MOD = 2003                   # time of day 86400
 BAD_QUANTITY_MOD = 7001               # quantity 40000 (outside SMALLINT)
 BAD_TOTAL_MOD = 1009                  # total_price off by 0.01
 LOADED_BEFORE = "1996-01-01"          # dates before this are already in the table
-INGEST_PERIOD = ("1996-01-25", "1996-03-05")  # dates that the write-side queries land and load
+ODD_FILE_DAYS = 50                    # days of the year, modulo this, whose landed files are odd:
+CUT_FILE_DAY, NON_LIST_DAY, MULTI_LINE_DAY = 7, 17, 27  # a further cut file, a further non-list file, arrays over many lines
 # ---------------------------------------------------------------------------
 
 
@@ -112,17 +113,25 @@ def plain_records(sales: DataFrame) -> DataFrame:
 RECORDS_PER_FILE = 5000
 
 
-def land_fixture_records(records: DataFrame, root: str, mode: str = "overwrite") -> None:
+def land_fixture_records(records: DataFrame, root: str, mode: str = "overwrite", odd_files: bool = False) -> None:
     """Land API records as the source receives them: JSON arrays, one array per
     file under ``batch_date=...``.  A date is split into
     ceil(rows / RECORDS_PER_FILE) arrays by a hash of the record, so no array
-    (one row, one task) grows with the data."""
+    (one row, one task) grows with the data.  ``odd_files``: beside its good files a date of CUT_FILE_DAY
+    gets one that ends early and one of NON_LIST_DAY one that is no list; MULTI_LINE_DAY's arrays take
+    a line a record."""
     per_day = records.groupBy("batch_date").agg(
         F.ceil(F.count(F.lit(1)) / F.lit(RECORDS_PER_FILE)).cast("int").alias("_k"))
     chunked = records.join(per_day, "batch_date").withColumn(
         "_chunk", F.pmod(F.xxhash64("pos"), F.col("_k")))
     arrays = chunked.groupBy("batch_date", "_chunk").agg(
         F.to_json(F.collect_list(F.col("rec"))).alias("value"))
+    if odd_files:
+        day = F.dayofyear("batch_date") % ODD_FILE_DAYS
+        arrays = arrays.withColumn("value", F.when(day == MULTI_LINE_DAY, F.regexp_replace("value", r"\},\{", "},\n  {"))
+                                   .otherwise(F.col("value")))
+        body = F.when(day == CUT_FILE_DAY, '[{"client_id":"1","gender":').when(day == NON_LIST_DAY, '{"client_id":"1"}')
+        arrays = arrays.unionByName(per_day.select("batch_date", F.lit(-1).alias("_chunk"), body.alias("value")).where("value is not null"))
     from tillroll.sources.sales_table import write_tasks
     (arrays.select("batch_date", "value", "_chunk")
      .repartition(write_tasks(records.sparkSession), "batch_date", "_chunk").drop("_chunk")
