@@ -5,8 +5,9 @@ near-duplicate removal, mixing of sources, byte-level BPE.  A stage takes (spark
 its result is written as Parquet in the shared folder and read again as the next stage's docs.  All but
 the last return the columns that they were given.
 
-Defined results, beside the operators' own: a row whose id or text is null is scored and judged as the
-operators say (an empty text fails the quality rules, so it does not get past the second stage).
+Defined results, beside the operators' own: every row is scored and judged by its own text, also where
+its id is null or repeats (an empty text fails the quality rules, so it does not get past the second
+stage); of rows that are near duplicates one stays, whatever their ids.
 Extra columns are carried along, whatever their names.  Empty tables give an empty result.
 """
 
@@ -20,16 +21,10 @@ from tillroll.llm import bpe, mixing, near_dups, quality_model, quality_rules
 from tillroll.llm.common import staged
 
 
-def _kept_ids(docs: DataFrame, keep: DataFrame) -> DataFrame:
-    """The rows of docs whose id is in ``keep`` (doc_id), null ids too where it holds a null."""
-    return docs.join(keep.select(F.col("doc_id").alias("__kept_id")).distinct(),
-                     docs["doc_id"].eqNullSafe(F.col("__kept_id")), "left_semi")
-
-
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier predicts to be good."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return _kept_ids(docs, quality_model.quality_scores(docs, labels).where("predicted = 1"))
+    return quality_model.good_documents(docs, labels)
 
 
 def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +36,13 @@ def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each near-duplicate group."""
-    return _kept_ids(docs, near_dups.near_duplicates(docs).where("kept"))
+    """One row, that with the smallest id (null last), of each near-duplicate group of rows."""
+    rows = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")  # written once: row numbers stay
+    groups = near_dups.near_duplicates(rows, id_col="__row").select(F.col("doc_id").alias("__row"), "component_id")
+    ids = rows.select("__row", "doc_id", F.xxhash64("text").alias("text"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text", "__row")
+    first = groups.join(ids, "__row").groupBy("component_id").agg(F.min(order).alias("first"))
+    return rows.join(first.select(F.col("first.__row").alias("__row")), "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import HELD_OUT, fold_of, staged
-from tillroll.llm.rows import map_slices
+from tillroll.llm.rows import SLICE_ROWS, map_slices
 
 MAX_FIT_ROWS = 200_000
 FIT_PARTITIONS = 32
@@ -159,32 +159,56 @@ def rising_map(bins: list[tuple[float, float, float]]) -> tuple[np.ndarray, np.n
     return xs, np.maximum.accumulate(ys)
 
 
+def fit_scores(stats: DataFrame, labels: DataFrame, label_col: str, max_fit_rows: int):
+    """What turns a matrix of statistics into scores; runs at once."""
+    rows = staged(labelled(stats, labels, label_col, max_fit_rows).coalesce(FIT_PARTITIONS), "quality-fit")
+    rows = rows.coalesce(FIT_PARTITIONS)
+    model, share = fit_ridge(rows.where("fold in (0, 1)"))
+    if model is None:
+        return lambda x: np.full(len(x), share)
+
+    def raw_scores():
+        return lambda r: {"doc_id": r["doc_id"], "raw": model.raw(_matrix(r["stats"]))}
+
+    with_y = map_slices(rows.where("fold = 3").select(F.col("y").cast("long").alias("doc_id"), "stats"), raw_scores,
+                        "doc_id long, raw double", 4096)
+    binned = (with_y.groupBy(F.floor(F.greatest(F.lit(-0.5), F.least(F.lit(1.5), "raw")) * (BINS / 2)).alias("bin"))
+              .agg(F.sum("doc_id").alias("ones"), F.count(F.lit(1)).alias("n"), F.avg("raw").alias("x")).collect())
+    xs, ys = rising_map([(r["x"], r["ones"], r["n"]) for r in binned]) if binned else (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
+
+    def scores(x):
+        raw = model.raw(x)
+        # the flat steps of the map keep the raw order by a thousandth
+        return 0.999 * np.interp(raw, xs, ys) + 0.001 * np.clip((raw + 0.5) / 2, 0, 1)
+    return scores
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
                    text_col: str = "text", threshold: float = THRESHOLD, max_fit_rows: int = MAX_FIT_ROWS) -> DataFrame:
     """Rows (doc_id, held_out, score, predicted); fitting runs at once, scoring on use."""
     stats = staged(with_stats(docs, id_col, text_col), "quality-stats")
-    rows = staged(labelled(stats, labels, label_col, max_fit_rows).coalesce(FIT_PARTITIONS), "quality-fit")
-    rows = rows.coalesce(FIT_PARTITIONS)
-    model, share = fit_ridge(rows.where("fold in (0, 1)"))
+    scores = fit_scores(stats, labels, label_col, max_fit_rows)
     held = fold_of(F.col("doc_id")) == HELD_OUT
-    if model is None:
-        scored = stats.select("doc_id", F.lit(share).cast("double").alias("score"))
-    else:
-        def raw_scores():
-            return lambda r: {"doc_id": r["doc_id"], "raw": model.raw(_matrix(r["stats"]))}
-
-        with_y = map_slices(rows.where("fold = 3").select(F.col("y").cast("long").alias("doc_id"), "stats"), raw_scores,
-                            "doc_id long, raw double", 4096)
-        binned = (with_y.groupBy(F.floor(F.greatest(F.lit(-0.5), F.least(F.lit(1.5), "raw")) * (BINS / 2)).alias("bin"))
-                  .agg(F.sum("doc_id").alias("ones"), F.count(F.lit(1)).alias("n"), F.avg("raw").alias("x")).collect())
-        xs, ys = rising_map([(r["x"], r["ones"], r["n"]) for r in binned]) if binned else (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
-
-        def scores():
-            def step(r):
-                raw = model.raw(_matrix(r["stats"]))
-                # the flat steps of the map keep the raw order by a thousandth
-                return {"doc_id": r["doc_id"], "score": 0.999 * np.interp(raw, xs, ys) + 0.001 * np.clip((raw + 0.5) / 2, 0, 1)}
-            return step
-        scored = map_slices(stats, scores, "doc_id long, score double", 4096)
+    scored = map_slices(stats, lambda: lambda r: {"doc_id": r["doc_id"], "score": scores(_matrix(r["stats"]))},
+                        "doc_id long, score double", 4096)
     return scored.select("doc_id", held.alias("held_out"), "score",
                          F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
+                   text_col: str = "text", threshold: float = THRESHOLD, max_fit_rows: int = MAX_FIT_ROWS) -> DataFrame:
+    """The rows of ``docs`` whose own text is predicted good; each is scored in place (a second pass over the
+    texts), so ids that are null or repeat decide nothing."""
+    scores = fit_scores(staged(with_stats(docs, id_col, text_col), "quality-stats"), labels, label_col, max_fit_rows)
+
+    @F.arrow_udf("boolean")
+    def good(texts):
+        import pyarrow as pa
+        found = []
+        for at in range(0, len(texts), SLICE_ROWS):
+            part = texts.slice(at, SLICE_ROWS).to_pylist()
+            # statistics are stored as floats
+            found += (scores(np.array([document_stats(t) for t in part], np.float32).astype(np.float64)) >= threshold).tolist()
+        return pa.array(found, pa.bool_())
+
+    return docs.where(good(F.coalesce(F.col(text_col), F.lit(""))))
