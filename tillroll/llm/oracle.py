@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from tillroll.llm.bisectors import CLUSTERS, DIMENSION, LIMIT, ROUNDS, SCALE
+from tillroll.llm.decontamination import WINDOW
+from tillroll.llm.lexical import TOP
 from tillroll.llm.mixing import BLOCK_DOCS, PERIOD_SLOTS
 from tillroll.llm.near_dups import LINK_PCT, SHINGLE
 from tillroll.llm.quality_rules import (BOILERPLATE, CLOSING, MAX_BOILERPLATE_WORDS, MAX_LOST_PCT, MAX_REPEAT_PCT,
@@ -108,4 +111,71 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= {MIN_REVISIT_BYTES} AND page_id < last THEN last END AS refers_to
 FROM l"""
 
-SQL = {"op1_quality_rules": QUALITY_RULES, "op2_source_mix": SOURCE_MIX, "op6_near_dups": NEAR_DUPS, "op9_warc": WARC}
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+TERMS = "regexp_extract_all(" + LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+LEXICAL_SEARCH = f"""
+WITH dt AS (SELECT row_number() OVER () AS r, doc_id, {TERMS.format("coalesce(text, '')")} AS w FROM documents),
+bt AS (SELECT row_number() OVER () AS item, item_id, {TERMS.format("coalesce(text, '')")} AS w FROM benchmark),
+corpus AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM dt WHERE len(w) > 0),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM dt) GROUP BY r, t),
+df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+weight AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w FROM df, corpus),
+wanted AS (SELECT item, t, count(*) AS q FROM (SELECT item, unnest(w) AS t FROM bt) GROUP BY item, t),
+damp AS (SELECT r, doc_id, 75 + (25 * len(w) * n_docs) // n_terms AS m FROM dt, corpus WHERE len(w) > 0),
+scored AS (
+  SELECT item, r, CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM wanted JOIN tf USING (t) JOIN weight USING (t) JOIN damp USING (r) GROUP BY item, r),
+placed AS (SELECT item, doc_id, score, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM scored JOIN damp USING (r) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM placed JOIN bt USING (item) WHERE rank <= {TOP}"""
+
+
+def _assigned(k: int) -> str:
+    return f"""a{k} AS (
+  SELECT r, c, distance FROM (
+    SELECT r, c, distance, row_number() OVER (PARTITION BY r ORDER BY distance, c) AS place FROM (
+      SELECT r, c, CAST(sum((v.x - m.x) * (v.x - m.x)) AS BIGINT) AS distance FROM v JOIN m{k} m USING (i) GROUP BY r, c)) WHERE place = 1)"""
+
+
+def _moved(k: int) -> str:
+    return f"""m{k + 1} AS (
+  SELECT c, i, coalesce(g.x, m.x) AS x FROM m{k} m LEFT JOIN (
+    SELECT c, i, CAST(sum(x) // count(*) - CASE WHEN sum(x) < 0 AND sum(x) % count(*) <> 0 AND sum(x) // count(*) * count(*) > sum(x) THEN 1 ELSE 0 END AS BIGINT) AS x
+    FROM v JOIN a{k} USING (r) GROUP BY c, i) g USING (c, i))"""
+
+
+CENTROIDS = f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: CAST(floor(CAST(e AS DOUBLE) * {SCALE}) AS BIGINT)) AS x FROM (
+    SELECT * FROM embeddings WHERE len(embedding) = {DIMENSION}
+      AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e) AND abs(CAST(e AS DOUBLE)) < {LIMIT})) = {DIMENSION})),
+v AS (SELECT r, unnest(range(1, {DIMENSION + 1})) AS i, unnest(x) AS x FROM kept),
+start AS (
+  SELECT r, row_number() OVER (ORDER BY sha256('1:' || vec_id), x) - 1 AS c FROM kept WHERE vec_id IS NOT NULL
+  QUALIFY row_number() OVER (ORDER BY sha256('1:' || vec_id), x) <= {CLUSTERS}),
+m0 AS (SELECT c, i, x FROM start JOIN v USING (r)),
+{", ".join(part for k in range(ROUNDS) for part in (_assigned(k), _moved(k)))},
+{_assigned(ROUNDS)},
+named AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM m{ROUNDS} GROUP BY c)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{ROUNDS} JOIN kept USING (r) JOIN named USING (c)"""
+
+DECONTAMINATION = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {TERMS.format("coalesce(text, '')")} AS w FROM documents),
+b AS (SELECT item_id, {TERMS.format("coalesce(text, '')")} AS w FROM benchmark),
+wanted AS (
+  SELECT DISTINCT item_id, least(len(w), {WINDOW}) AS k, array_to_string(w[i:i + {WINDOW - 1}], ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - {WINDOW - 2}))) AS i FROM b WHERE len(w) > 0)),
+place AS (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM wanted)),
+found AS (SELECT r, i, k, item_id FROM place JOIN wanted USING (k) WHERE array_to_string(w[i:i + k - 1], ' ') = s),
+inside AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS p FROM found) GROUP BY r),
+listed AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN inside USING (r) LEFT JOIN listed USING (r)"""
+
+SQL = {"op1_quality_rules": QUALITY_RULES, "op2_source_mix": SOURCE_MIX, "op6_near_dups": NEAR_DUPS, "op9_warc": WARC,
+       "op11_lexical_search": LEXICAL_SEARCH, "op12_centroids": CENTROIDS, "op13_decontamination": DECONTAMINATION}

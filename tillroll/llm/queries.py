@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, language, mixing, near_dups, oracle, quality_model, quality_rules, token_counts, toxicity, vectors, warc
+from tillroll.llm import (bisectors, bpe, decontamination, language, lexical, mixing, near_dups, oracle, quality_model, quality_rules,
+                          token_counts, toxicity, vectors, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,10 +61,22 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(_table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bisectors.clusters_with_inertia(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.with_digests(decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
+
+
 def all_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_quality_rules, op2_source_mix, op3_vector_search, op4_byte_bpe, op5_toxicity, op6_near_dups,
-        op7_quality_model, op8_token_counts, op9_warc, op10_language)}
+        op7_quality_model, op8_token_counts, op9_warc, op10_language, op11_lexical_search, op12_centroids, op13_decontamination)}
 
 
 def all_sql() -> dict[str, str]:
