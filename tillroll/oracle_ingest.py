@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from tillroll.oracle import (ABC_XYZ_CTES, CUSTOMER_RFM_CTES, DAILY_SALES_CTE, MART_SQL, MONTHLY_CTE,
                              PRODUCT_TOTALS_CTE, VARIABILITY_CTES, with_sales)
-from tillroll.sources.fixture import CUT_FILE_DAY, NON_LIST_DAY, ODD_FILE_DAYS
+from tillroll.sources.fixture import BAD_NUMBER_MOD, CUT_FILE_DAY, NON_LIST_DAY, ODD_FILE_DAYS
 
 RULES = """rules AS (
   SELECT purchase_date AS batch_date, client_id, product_id, quantity, total_price,
@@ -84,6 +84,17 @@ FROM status""",
 }
 
 
+NUMBERS = (RULES.replace("sale_id % 1009 = 0 OR sale_id % 7001 = 0 AS off_total", f"(sale_id % 1009 = 0 OR sale_id % 7001 = 0) AND sale_id % {BAD_NUMBER_MOD} <> 0 AS off_total")
+           .replace("sale_id % 7001 = 0 OR dayofyear(purchase_date) = 100 AS bad_kind",
+                    f"(sale_id % 7001 = 0 AND sale_id % {BAD_NUMBER_MOD} <> 0) OR dayofyear(purchase_date) = 100 AS bad_kind, sale_id % {BAD_NUMBER_MOD} = 0 AS no_number")
+           .replace("FILTER (WHERE false)", "FILTER (WHERE no_number)"))
+ODD_DAY = f"dayofyear(batch_date) % {ODD_FILE_DAYS}"
+INGEST_SQL["quarantine_table"] = with_sales(NUMBERS) + f"""SELECT batch_date,
+  CASE WHEN {ODD_DAY} = {NON_LIST_DAY} THEN 'not_a_list' WHEN {ODD_DAY} = {CUT_FILE_DAY} THEN 'broken_json' ELSE reason END AS reason,
+  rows AS records, CASE WHEN {ODD_DAY} IN ({CUT_FILE_DAY}, {NON_LIST_DAY}) THEN 1 ELSE 0 END AS odd_files,
+  bad_datetime, bad_number, date_mismatch, bad_time, bad_total, bad_type, product_sum
+FROM verdicts JOIN (SELECT purchase_date AS batch_date, CAST(sum(product_id) AS BIGINT) AS product_sum FROM sales GROUP BY purchase_date) USING (batch_date)
+WHERE dayofyear(batch_date) % 2 = 1 AND (reason IS NOT NULL OR {ODD_DAY} IN ({CUT_FILE_DAY}, {NON_LIST_DAY}))"""
 INGEST_SQL["ingested_sales"] = with_sales() + f"""SELECT purchase_date, count(*) AS rows, count(*) AS ids, count(*) AS id_range,
   CAST(sum(quantity) AS BIGINT) AS units, CAST(sum(client_id) AS BIGINT) AS client_sum, CAST(sum(product_id) AS BIGINT) AS product_sum,
   CAST(sum(total_price) AS DECIMAL(20,2)) AS revenue

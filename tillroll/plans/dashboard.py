@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.classes import class_ordinal
 from tillroll.functions.numeric import avg_half_up, cents, ratio_half_up
-from tillroll.plans.marts import D20
+from tillroll.plans.marts import D20, distinct_in
 
 GRAINS = {"day": None, "week": "week", "month": "month", "quarter": "quarter", "year": "year"}
 
@@ -17,18 +17,18 @@ def in_period(df: DataFrame, start, end, col: str = "purchase_date") -> DataFram
     return df.where(F.col(col).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
 
 
-def kpis(sales: DataFrame, start, end) -> DataFrame:
-    """Revenue, units, sales, distinct clients and average sale of a period.
+def kpis(daily: DataFrame, presence: DataFrame, start, end) -> DataFrame:
+    """Revenue, units, sales, distinct clients and average sale of a period, from the daily mart.
 
-    Distinct clients are recounted from the sales rows (a sum of daily
-    distinct counts would count a returning client once per day)."""
-    g = in_period(sales, start, end).agg(
-        F.sum("total_price").alias("_rev"),
-        F.sum("quantity").cast("bigint").alias("units_sold"),
-        F.count(F.lit(1)).alias("sales_count"),
-        F.count_distinct("client_id").alias("unique_clients"),
+    Distinct clients are merged from the days' id sets (a sum of daily distinct counts would count a
+    returning client once per day); no sales are read."""
+    g = in_period(daily, start, end).agg(
+        F.sum("revenue").alias("_rev"),
+        F.sum("units_sold").cast("bigint").alias("units_sold"),
+        F.coalesce(F.sum("sales_count"), F.lit(0)).cast("bigint").alias("sales_count"),
     )
-    return g.select(
+    clients = distinct_in(in_period(presence, start, end), "client", out="unique_clients")
+    return g.crossJoin(F.broadcast(clients)).select(
         F.lit(start).cast("date").alias("period_start"), F.lit(end).cast("date").alias("period_end"),
         F.coalesce(F.col("_rev"), F.lit(0)).cast(D20).alias("revenue"),
         F.coalesce(F.col("units_sold"), F.lit(0)).alias("units_sold"), "sales_count", "unique_clients",
@@ -54,13 +54,17 @@ def sales_dynamics(daily: DataFrame, grain: str = "month", start=None, end=None)
     return g.withColumn("avg_sale_amount", avg_half_up(cents(F.col("revenue")), F.col("sales_count"), 2, 2))
 
 
-def client_activity(sales: DataFrame, grain: str = "month", start=None, end=None) -> DataFrame:
-    """Active clients per period, with purchases per active client; of a period where one is given."""
-    g = (sales if start is None else in_period(sales, start, end)).groupBy(_period("purchase_date", grain).alias("period_start")).agg(
-        F.count_distinct("client_id").alias("active_clients"),
-        F.count(F.lit(1)).alias("sales_count"),
-        F.sum("total_price").cast(D20).alias("revenue"),
-    )
+def client_activity(daily: DataFrame, presence: DataFrame, grain: str = "month", start=None, end=None) -> DataFrame:
+    """Active clients per period, with purchases per active client, from the daily mart and the days' id sets; of a
+    period where one is given."""
+    if start is not None:
+        daily, presence = in_period(daily, start, end), in_period(presence, start, end)
+    period = _period("purchase_date", grain)
+    active = distinct_in(presence, "client", period, "active_clients")
+    g = daily.groupBy(period.alias("period_start")).agg(
+        F.sum("sales_count").cast("bigint").alias("sales_count"),
+        F.sum("revenue").cast(D20).alias("revenue"),
+    ).join(active, "period_start").select("period_start", "active_clients", "sales_count", "revenue")
     return g.withColumns({
         "sales_per_client": ratio_half_up(F.col("sales_count"), F.col("active_clients"), 4),
         "revenue_per_client": ratio_half_up(cents(F.col("revenue")), F.col("active_clients") * 100, 2),

@@ -1,7 +1,9 @@
 """The four derived tables of the sales fact and their refresh.
 
 ``daily_sales`` and ``product_monthly_sales`` are plain grouped aggregates
-(partial aggregation map-side, one shuffle on the group key).
+(partial aggregation map-side, one shuffle on the group key).  Distinct clients
+and products of a day are bit sets that merge into any longer period, and client
+totals are kept by month, so that a replaced date takes one month out and back in.
 ``customer_rfm`` and ``product_abc_xyz`` need whole-table ranks; those go
 through ``operators.ranks`` so no step runs in a single task.
 """
@@ -38,19 +40,42 @@ def pct_half_up(num: Column, den: Column, scale: int = 2, precision: int = 8) ->
     return ratio_half_up(cents(num), cents(den), scale, mult=100, precision=precision)
 
 
-def daily_sales(sales: DataFrame) -> DataFrame:
+def daily_presence(sales: DataFrame) -> DataFrame:
+    """(purchase_date, kind, word, bits): the day's distinct clients and products (``kind``), exactly.
+
+    Ids word * 64 .. word * 64 + 63 are the bits of one long.  Words merge by OR, in each task before the
+    shuffle and again into weeks, months or any period, so a period's distinct count reads no sales."""
+    seen = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"{k}_id").cast("bigint").alias("id")) for k in ("client", "product")]))
+    ids = sales.select("purchase_date", seen.alias("s")).select("purchase_date", "s.kind", "s.id").where("id is not null")
+    return ids.groupBy("purchase_date", "kind", F.shiftright("id", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(id & 63L as int))")).alias("bits"))
+
+
+def distinct_in(presence: DataFrame, kind: str, period: Column | None = None, out: str = "n") -> DataFrame:
+    """(period_start, out): distinct ids of a kind by period, or one row (out) over all the days."""
+    by = [] if period is None else [period.alias("period_start")]
+    names = [] if period is None else ["period_start"]
+    merged = presence.where(F.col("kind") == kind).groupBy(*by, "word").agg(F.bit_or("bits").alias("bits"))
+    return merged.groupBy(*names).agg(F.coalesce(F.sum(F.bit_count("bits")), F.lit(0)).cast("bigint").alias(out))
+
+
+def daily_sales(sales: DataFrame, presence: DataFrame | None = None) -> DataFrame:
+    """One row a date.  ``presence``: the dates' ``daily_presence``, where it is stored."""
     s = with_amounts(sales)
     g = s.groupBy("purchase_date").agg(
         F.count(F.lit(1)).alias("sales_count"),
-        F.count_distinct("client_id").alias("unique_clients"),
-        F.count_distinct("product_id").alias("unique_products"),
         F.sum("quantity").cast("bigint").alias("units_sold"),
         F.sum("gross_revenue").alias("_gross"),
         F.sum("discount_amount").alias("_disc"),
         F.sum("total_price").alias("_rev"),
     )
-    return g.select(
-        "purchase_date", "sales_count", "unique_clients", "unique_products", "units_sold",
+    ids = F.bit_count("bits")
+    distinct = (daily_presence(sales) if presence is None else presence).groupBy("purchase_date").agg(
+        F.coalesce(F.sum(F.when(F.col("kind") == "client", ids)), F.lit(0)).cast("bigint").alias("unique_clients"),
+        F.coalesce(F.sum(F.when(F.col("kind") == "product", ids)), F.lit(0)).cast("bigint").alias("unique_products"))
+    return g.join(distinct, "purchase_date", "left").select(
+        "purchase_date", "sales_count", F.coalesce("unique_clients", F.lit(0)).alias("unique_clients"),
+        F.coalesce("unique_products", F.lit(0)).alias("unique_products"), "units_sold",
         F.col("_gross").cast(D20).alias("gross_revenue"),
         F.col("_disc").cast(D20).alias("discount_amount"),
         F.col("_rev").cast(D20).alias("revenue"),
@@ -72,11 +97,11 @@ def product_monthly_sales(sales: DataFrame) -> DataFrame:
     return g
 
 
-def client_aggregates(sales: DataFrame) -> DataFrame:
+def client_aggregates(sales: DataFrame, by: tuple = ()) -> DataFrame:
     """Mergeable per-client totals: gender min/max, first/last date, rows,
     distinct days, units, revenue.  Two loads of disjoint dates merge by
     min/max/sum (``merge_client_aggregates``)."""
-    return sales.groupBy("client_id").agg(
+    return sales.groupBy(*by, "client_id").agg(
         F.min("gender").alias("gender_min"),
         F.max("gender").alias("gender_max"),
         F.min("purchase_date").alias("first_purchase_date"),
@@ -88,6 +113,26 @@ def client_aggregates(sales: DataFrame) -> DataFrame:
     )
 
 
+def client_months(sales: DataFrame) -> DataFrame:
+    """The totals by client and month: a month can be taken out and built again, which totals with a minimum or a
+    maximum can't do."""
+    return client_aggregates(sales, (F.trunc("purchase_date", "MM").alias("month_start"),))
+
+
+def totals_of_months(months: DataFrame) -> DataFrame:
+    """A client's totals from the months' totals; no sales are read."""
+    return months.groupBy("client_id").agg(
+        F.min("gender_min").alias("gender_min"),
+        F.max("gender_max").alias("gender_max"),
+        F.min("first_purchase_date").alias("first_purchase_date"),
+        F.max("last_purchase_date").alias("last_purchase_date"),
+        F.sum("rows").cast("bigint").alias("rows"),
+        F.sum("days").cast("bigint").alias("days"),  # months share no day
+        F.sum("units").cast("bigint").alias("units"),
+        F.sum("revenue").cast("decimal(38,2)").alias("revenue"),
+    )
+
+
 def merge_client_aggregates(old: DataFrame, new: DataFrame) -> DataFrame:
     """Combine the totals of two sets of disjoint dates (one outer join on
     the client key; both sides are one row per client)."""
@@ -279,6 +324,8 @@ def product_abc_xyz(monthly: DataFrame, n_buckets: int | None = None) -> DataFra
 
 
 MART_ORDER = ["daily_sales", "customer_rfm", "product_monthly_sales", "product_abc_xyz"]
+#: Tables that the marts are kept up from: distinct ids of a day, client totals of a month.
+PRESENCE, CLIENT_MONTHS = "daily_presence", "_client_months"
 
 
 def in_months(date_col: Column, months) -> Column:
@@ -336,31 +383,48 @@ def _cover(spark, out: str, name: str, versions: dict) -> None:
 
 def _refresh_by_month(build, sales: DataFrame, out: str, name: str, versions: dict, months: list) -> None:
     """Rebuild the months with a date that was added or replaced since the mart was built (and ``months``);
-    all of them where the mart or its coverage is missing or a date has gone."""
+    all of them where the mart or its coverage is missing or a date has gone.  ``build`` takes the sales of
+    some months and a filter of a table's ``month_start`` to them."""
     spark = sales.sparkSession
     path = f"{out.rstrip('/')}/{name}"
     covered = covered_versions(spark, out, name) if _exists(spark, path) else None
     if covered is None or set(covered) - set(versions):
-        replace_table(build(sales), path, ["month_start"])
+        replace_table(build(sales, F.lit(True)), path, ["month_start"])
     else:
         stale = {d.replace(day=1) for d, v in versions.items() if covered.get(d) != v} | set(months)
         if stale:
-            (build(sales.where(in_months(F.col("purchase_date"), stale))).write.mode("overwrite")
+            of_stale = F.col("month_start").isin([F.lit(m).cast("date") for m in sorted(stale)])
+            (build(sales.where(in_months(F.col("purchase_date"), stale)), of_stale).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy("month_start").parquet(path))
     _cover(spark, out, name, versions)
 
 
+def _by_month(df: DataFrame) -> DataFrame:
+    """A month's rows in few files: adaptive execution splits large months and merges small ones."""
+    return df.hint("rebalance", "month_start")
+
+
+def _refresh_daily(sales: DataFrame, out: str, versions: dict, months: list) -> None:
+    """The day's distinct ids, then the daily mart, which takes its distinct counts from them."""
+    month = F.trunc("purchase_date", "MM").alias("month_start")
+    _refresh_by_month(lambda s, _: _by_month(daily_presence(s).select("*", month)), sales, out, PRESENCE, versions, months)
+    presence = sales.sparkSession.read.parquet(f"{out.rstrip('/')}/{PRESENCE}")
+    _refresh_by_month(lambda s, of: daily_sales(s, presence.where(of)).select("*", month), sales, out, "daily_sales", versions, months)
+
+
 def _refresh_rfm(sales: DataFrame, out: str, path: str, versions: dict) -> None:
     """RFM from the client-state table.
 
     The state stores client totals and the dates (with versions) that they cover.  When the table has
     those and more, only the new dates' rows are aggregated and merged — O(clients), not O(sales).
-    Anything else (no state, a replaced or missing date) rebuilds the state from the whole fact."""
+    Anything else (no state, a replaced or missing date) adds up the months' totals, of which only
+    the months of added and replaced dates are built from sales."""
     spark = sales.sparkSession
+    _refresh_by_month(lambda s, _: _by_month(client_months(s)), sales, out, CLIENT_MONTHS, versions, [])
     state_path = f"{out.rstrip('/')}/_client_state"
     covered = covered_versions(spark, out, "_client_state") if _exists(spark, state_path) else None
     if covered is None or any(versions.get(d) != v for d, v in covered.items()):
-        state = client_aggregates(sales)
+        state = totals_of_months(spark.read.parquet(f"{out.rstrip('/')}/{CLIENT_MONTHS}"))
     else:
         state = spark.read.parquet(state_path)
         new = [F.lit(d).cast("date") for d in versions if d not in covered]
@@ -381,7 +445,7 @@ def refresh_marts(sales: DataFrame, out: str, names: list[str] | None = None,
     ``versions``: the table's dates and their load versions (``date_versions``; without it, the dates of
     ``sales``, each at version 0).  Each mart remembers the versions that it was built from and rebuilds what differs: date- and
     month-grain marts by month (dynamic partition overwrite), customer_rfm by merging new dates into the
-    client state.  ``months`` are rebuilt in any case.  Ranks always cover whole tables — the client
+    client state or, after a replaced date, from the months' client totals.  ``months`` are rebuilt in any case.  Ranks always cover whole tables — the client
     state, and for product_abc_xyz the stored monthly mart, never the raw fact."""
     wanted = set(names or MART_ORDER)
     if "product_abc_xyz" in wanted:
@@ -395,10 +459,9 @@ def refresh_marts(sales: DataFrame, out: str, names: list[str] | None = None,
             continue
         path = f"{out.rstrip('/')}/{name}"
         if name == "daily_sales":
-            _refresh_by_month(lambda s: daily_sales(s).withColumn("month_start", F.trunc("purchase_date", "MM")),
-                              sales, out, name, versions, months or [])
+            _refresh_daily(sales, out, versions, months or [])
         elif name == "product_monthly_sales":
-            _refresh_by_month(product_monthly_sales, sales, out, name, versions, months or [])
+            _refresh_by_month(lambda s, _: product_monthly_sales(s), sales, out, name, versions, months or [])
         elif name == "customer_rfm":
             _refresh_rfm(sales, out, path, versions)
         else:

@@ -6,15 +6,15 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from tillroll.plans.marts import MART_ORDER, _exists
+from tillroll.plans.marts import MART_ORDER, PRESENCE, _exists
 from tillroll.sources.sales_table import read_sales
 
 
 def register_views(spark: SparkSession, marts_out: str, sales_path: str | None = None,
                    prefix: str = "") -> list[str]:
-    """Create or replace temp views ``<prefix><mart>`` (and ``<prefix>sales``)."""
+    """Create or replace temp views ``<prefix><mart>``, ``<prefix>daily_presence`` (and ``<prefix>sales``)."""
     names = []
-    for name in MART_ORDER:
+    for name in [*MART_ORDER, PRESENCE]:
         path = f"{marts_out.rstrip('/')}/{name}"
         if _exists(spark, path):
             spark.read.parquet(path).createOrReplaceTempView(prefix + name)

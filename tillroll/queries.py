@@ -19,10 +19,10 @@ from tillroll.plans import customers as C
 from tillroll.session import checkpoint_dir, staged
 from tillroll.functions.dates import day_series
 from tillroll.plans import ingest
-from tillroll.sources.batches import read_day_batches, validate_batches
+from tillroll.sources.batches import FLAGS, read_day_batches, validate_batches
 from tillroll.sources.fixture import (LOADED_BEFORE, STUDY_ANALYSIS_DATE, STUDY_YEAR, fixture_records, fixture_sales,
-                                      land_fixture_records, plain_records)
-from tillroll.sources.sales_table import date_versions, existing_dates, read_sales
+                                      land_fixture_records, plain_records, with_bad_numbers)
+from tillroll.sources.sales_table import date_versions, existing_dates, read_quarantine, read_sales
 
 PERIOD = (f"{STUDY_YEAR}-01-01", f"{STUDY_YEAR}-12-31")
 
@@ -62,12 +62,18 @@ def _coverage_queries() -> dict[str, Query]:
 def _dashboard_queries() -> dict[str, Query]:
     def abc(s, d):
         return marts.product_abc_xyz(_monthly(s, d))
+
+    def days(s, d):
+        """The daily mart and the days' id sets, as they are stored."""
+        sales = _sales(s, d)
+        presence = staged(marts.daily_presence(sales), "presence")
+        return staged(marts.daily_sales(sales, presence), "daily"), presence
     return {
-        "kpis": lambda s, d: dashboard.kpis(_sales(s, d), *PERIOD),
+        "kpis": lambda s, d: dashboard.kpis(*days(s, d), *PERIOD),
         "sales_dynamics": lambda s, d: dashboard.sales_dynamics(marts.daily_sales(_sales(s, d)), "month"),
-        "client_activity": lambda s, d: dashboard.client_activity(_sales(s, d), "month"),
+        "client_activity": lambda s, d: dashboard.client_activity(*days(s, d), "month"),
         "daily_dynamics": lambda s, d: dashboard.sales_dynamics(marts.daily_sales(_sales(s, d)), "day", *PERIOD),
-        "daily_activity": lambda s, d: dashboard.client_activity(_sales(s, d), "day", *PERIOD),
+        "daily_activity": lambda s, d: dashboard.client_activity(*days(s, d), "day", *PERIOD),
         "segment_breakdown": lambda s, d: dashboard.segment_breakdown(marts.customer_rfm(_sales(s, d))),
         "class_breakdown": lambda s, d: dashboard.class_breakdown(abc(s, d)),
         "top_products": lambda s, d: dashboard.top_products(abc(s, d), 10),
@@ -164,7 +170,8 @@ def _ingest_status(s, d):
     bounds = sales.agg(F.min("purchase_date").alias("a"), F.max("purchase_date").alias("b"))
     requested = bounds.select(F.explode(day_series(F.col("a"), F.col("b"))).alias("batch_date"))
     loaded = existing_dates(sales.where(F.col("purchase_date") < F.lit(LOADED_BEFORE).cast("date")))
-    return staged(ingest.plan_ingest(requested, loaded, _validated(s, d, sales)[2]), "status")
+    status = ingest.plan_ingest(requested, loaded, _validated(s, d, sales)[2])
+    return staged(status.select("batch_date", "status", "rows", "reason"), "status")
 
 
 def _all_records(s, d):
@@ -198,20 +205,44 @@ def _ingested_sales(s, d):
 
 def _refreshed(name):
     def query(s, d):
-        """S-06, Q-13: marts built after one date, then dates loaded without a refresh, then a daily run."""
+        """S-06, Q-13: marts built after one date, refreshed after a load of many, then a date that is replaced by a
+        late file and a daily run."""
         records, root = _all_records(s, d), _folder(s, "landing")
         sales_path, out = _folder(s, "sales"), _folder(s, "marts")
         dates = [r.d for r in records.select(F.col("batch_date").alias("d")).distinct().orderBy("d").collect()]  # calendar days
-        land_fixture_records(records, root)
+        late_date = dates[len(dates) // 2]
+        late = (F.col("batch_date") == F.lit(late_date)) & (F.col("pos") % 2 == 0)
+        land_fixture_records(records.where(~late), root)
         ingest.ingest_dates(s, root, sales_path, dates[1:2])
         marts.refresh_marts(read_sales(s, sales_path), out, versions=date_versions(s, sales_path))
         ingest.ingest_dates(s, root, sales_path, dates[:-1])
+        marts.refresh_marts(read_sales(s, sales_path), out, versions=date_versions(s, sales_path))
+        land_fixture_records(records.where(late), root, mode="append")  # a file that lands late replaces its date
+        ingest.ingest_dates(s, root, sales_path, [late_date])
         ingest.daily_load(s, root, sales_path, dates[-1] + dt.timedelta(days=1), out)
         got = s.read.parquet(f"{out}/{name}")
         return got.drop("month_start") if name == "daily_sales" else got
     return query
 
 
+def _quarantine_table(s, d):
+    """Q-08..Q-10 as a table: records with defects of every kind, non-numeric values among them, land with odd files and
+    are ingested; then even days of the year land again without defects, and their letters must be gone."""
+    sales, root, sales_path = staged(_sales(s, d), "sales"), _folder(s, "landing"), _folder(s, "sales")
+    records = staged(with_bad_numbers(fixture_records(s, d, sales)), "records")
+    dates = [r.d for r in sales.select(F.col("purchase_date").alias("d")).distinct().orderBy("d").collect()]  # calendar days
+    land_fixture_records(records, root, odd_files=True)
+    ingest.ingest_dates(s, root, sales_path, dates)
+    even = F.dayofyear("batch_date") % 2 == 0
+    land_fixture_records(plain_records(sales).where(even), root, dates_only=True)
+    ingest.ingest_dates(s, root, sales_path, dates)
+    letters = read_quarantine(s, sales_path)
+    kept = F.col("record").isNotNull()
+    return letters.groupBy("batch_date", "reason").agg(
+        F.count_if(kept).alias("records"), F.count_if(~kept).alias("odd_files"), *[F.count_if(F.col(f)).alias(f) for f in FLAGS],
+        F.coalesce(F.sum(F.get_json_object("record", "$.product_id").cast("bigint")), F.lit(0)).alias("product_sum"))
+
+
 def _key_contract(s, d):
     sales = staged(_sales(s, d), "sales")
     monthly = staged(marts.product_monthly_sales(sales), "monthly")
@@ -238,6 +269,7 @@ def _ingest_queries() -> dict[str, Query]:
         "existing_dates": lambda s, d: existing_dates(_sales(s, d)),
         "key_contract": _key_contract,
         "ingested_sales": _ingested_sales,
+        "quarantine_table": _quarantine_table,
         **{f"refreshed_{name}": _refreshed(name) for name in marts.MART_ORDER},
     }
 

@@ -69,6 +69,12 @@ def submitted_session(app: str = "tillroll") -> SparkSession:
     return spark
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(path, its file system) of the JVM."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def staged(df: DataFrame, tag: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder (shared on a cluster) and read it back: lineage
     is cut, later jobs prune columns, and a lost executor loses nothing."""

@@ -62,6 +62,7 @@ NEXT_DAY_MOD = 3001                   # purchase_datetime on the following day
 BAD_TIME_MOD = 2003                   # time of day 86400
 BAD_QUANTITY_MOD = 7001               # quantity 40000 (outside SMALLINT)
 BAD_TOTAL_MOD = 1009                  # total_price off by 0.01
+BAD_NUMBER_MOD = 4001                 # quantity that is no number (``with_bad_numbers`` only)
 LOADED_BEFORE = "1996-01-01"          # dates before this are already in the table
 ODD_FILE_DAYS = 50                    # days of the year, modulo this, whose landed files are odd:
 CUT_FILE_DAY, NON_LIST_DAY, MULTI_LINE_DAY = 7, 17, 27  # a further cut file, a further non-list file, arrays over many lines
@@ -99,6 +100,12 @@ def fixture_records(spark: SparkSession, sf_dir: str, sales: DataFrame | None =
                     sid.alias("pos"), rec.alias("rec"))
 
 
+def with_bad_numbers(records: DataFrame) -> DataFrame:
+    """Some quantities as text that is no number."""
+    wrong = F.map_concat(F.map_filter("rec", lambda k, v: k != F.lit("quantity")), F.create_map(F.lit("quantity"), F.lit("n/a")))
+    return records.withColumn("rec", F.when(F.col("pos") % BAD_NUMBER_MOD == 0, wrong).otherwise(F.col("rec")))
+
+
 def plain_records(sales: DataFrame) -> DataFrame:
     """Sales as API records without defects."""
     pairs = [("client_id", F.col("client_id")), ("gender", F.col("gender")),
@@ -113,13 +120,14 @@ def plain_records(sales: DataFrame) -> DataFrame:
 RECORDS_PER_FILE = 5000
 
 
-def land_fixture_records(records: DataFrame, root: str, mode: str = "overwrite", odd_files: bool = False) -> None:
+def land_fixture_records(records: DataFrame, root: str, mode: str = "overwrite", odd_files: bool = False,
+                         dates_only: bool = False) -> None:
     """Land API records as the source receives them: JSON arrays, one array per
     file under ``batch_date=...``.  A date is split into
     ceil(rows / RECORDS_PER_FILE) arrays by a hash of the record, so no array
     (one row, one task) grows with the data.  ``odd_files``: beside its good files a date of CUT_FILE_DAY
     gets one that ends early and one of NON_LIST_DAY one that is no list; MULTI_LINE_DAY's arrays take
-    a line a record."""
+    a line a record.  ``dates_only``: only the records' own dates are replaced."""
     per_day = records.groupBy("batch_date").agg(
         F.ceil(F.count(F.lit(1)) / F.lit(RECORDS_PER_FILE)).cast("int").alias("_k"))
     chunked = records.join(per_day, "batch_date").withColumn(
@@ -135,4 +143,4 @@ def land_fixture_records(records: DataFrame, root: str, mode: str = "overwrite",
     from tillroll.sources.sales_table import write_tasks
     (arrays.select("batch_date", "value", "_chunk")
      .repartition(write_tasks(records.sparkSession), "batch_date", "_chunk").drop("_chunk")
-     .write.mode(mode).option("maxRecordsPerFile", 1).partitionBy("batch_date").text(root))
+     .write.mode(mode).option("partitionOverwriteMode", "dynamic" if dates_only else "static").option("maxRecordsPerFile", 1).partitionBy("batch_date").text(root))
