@@ -34,7 +34,7 @@ def main() -> None:
     from tillroll.plans import customers as C
     from tillroll.plans import marts
     from tillroll.sources.batches import validate_batches
-    from tillroll.sources.fixture import STUDY_ANALYSIS_DATE, STUDY_YEAR, fixture_records, fixture_sales
+    from tillroll.sources.fixture import STUDY_ANALYSIS_DATE, STUDY_YEAR, fixture_records, fixture_sales, land_fixture_records, plain_records
     from tillroll.plans.ingest import ingest_dates
     from tillroll.plans.marts import refresh_marts
     from tillroll.sources.sales_table import (append_load_log, append_sales, date_versions, load_units, read_sales,
@@ -77,15 +77,9 @@ def main() -> None:
 
     timed("history_load", history)
 
-    # The last day lands as the API payload: one JSON array in one file.
+    # The last day lands as the API payload: JSON arrays of a bounded number of records.
     landing = f"{root}/landing"
-    api = fx.where(F.col("purchase_date") == F.lit(last_day)).select(F.struct(
-        "client_id", "gender",
-        F.concat_ws(" ", F.col("purchase_date").cast("string"), F.lit("12:00:00")).alias("purchase_datetime"),
-        F.col("purchase_time_seconds").alias("purchase_time_as_seconds_from_midnight"),
-        "product_id", "quantity", "price_per_item", "discount_per_item", "total_price").alias("o"))
-    (api.agg(F.to_json(F.collect_list("o")).alias("value")).coalesce(1)
-     .write.mode("overwrite").text(f"{landing}/batch_date={last_day}"))
+    land_fixture_records(plain_records(fx.where(F.col("purchase_date") == F.lit(last_day))), landing)
 
     # Initial full build of the marts over the history (the source's full
     # recompute), timed per mart.

@@ -203,3 +203,49 @@ def test_stored_id_sets_serve_the_dashboard(spark, scratch):
     got = {str(r.period_start): (r.active_clients, r.sales_count) for r in dashboard.client_activity(daily, presence).collect()}
     assert got == {"2024-08-01": (4, 6), "2024-09-01": (3, 3)}
     assert dashboard.kpis(daily, presence, "2024-08-31", "2024-09-01").first().unique_clients == 4
+
+
+# ---- percentiles by selection ---------------------------------------------------------------------------------------
+
+def test_selection_narrows_any_distribution(spark):
+    import random
+    from decimal import Decimal
+
+    import numpy as np
+
+    from tillroll.operators.stats import exact_percentiles
+    rnd = random.Random(8)
+    groups = {"same": [5] * 50, "one": [7], "two": [1, 10 ** 12], "ties": [rnd.choice([1, 2, 3]) for _ in range(200)],
+              "tail": [int(10 ** rnd.uniform(0, 14)) for _ in range(300)], "below": [-rnd.randint(0, 10 ** 6) for _ in range(99)],
+              "hot": [42] * 500 + list(range(250))}
+    rows = [(g, v) for g, vs in groups.items() for v in vs] + [("one", None), (None, 3), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v long").withColumn("v", F.col("v").cast("decimal(20,2)"))
+    pcts = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    names = [f"q{i}" for i in range(len(pcts))]
+    for bins in (16, None):
+        got = {r.g: r for r in exact_percentiles(df, "v", pcts, ["g"], names, n_buckets=bins).collect()}
+        assert set(got) == set(groups)
+        for g, vs in groups.items():
+            vs = sorted(map(Decimal, vs))
+            for p, name in zip(pcts, names):
+                pos = (len(vs) - 1) * Decimal(str(p))
+                lo = int(pos)
+                want = vs[lo] + (vs[min(lo + 1, len(vs) - 1)] - vs[lo]) * (pos - lo)
+                assert getattr(got[g], name) == want, (g, p)
+    doubles = spark.createDataFrame([(x,) for x in np.random.default_rng(1).lognormal(0, 9, 400).tolist()], "v double")
+    r = exact_percentiles(doubles, "v", [0.5]).first()
+    assert abs(r.p50 / np.median([x.v for x in doubles.collect()]) - 1) < 1e-12
+    assert exact_percentiles(doubles.limit(0), "v", [0.5]).collect()[0].p50 is None
+    assert exact_percentiles(df.limit(0), "v", [0.5], ["g"]).count() == 0
+
+
+def test_selection_sorts_nothing_by_range(spark, monkeypatch):
+    from tillroll.operators import stats
+    plans, plain = [], stats.staged
+
+    def seen(df, tag="stage"):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, tag)
+    monkeypatch.setattr(stats, "staged", seen)
+    stats.exact_percentiles(spark.range(5000).withColumn("v", F.col("id").cast("decimal(20,2)")), "v", [0.1, 0.5]).collect()
+    assert len(plans) >= 3 and not any("rangepartitioning" in p for p in plans)

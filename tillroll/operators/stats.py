@@ -1,11 +1,14 @@
-"""Exact percentiles and ``describe`` without gathering a group in one task.
+"""Exact percentiles and ``describe`` without gathering or sorting a group.
 
 ``percentile``/``median`` aggregates keep every value of a group in one
 buffer, so a global median of a billion-row table would run in one task.
-Here the distinct values of each group are counted and put in one order with
-``global_prefix``; a value covers the places from its running count on, and
-only the values that cover a wanted position are kept — at most 2 × len(pcts)
-rows per group reach the final aggregate.
+Here wanted places are found by selection: a histogram of ``BINS`` equal bins
+between a group's smallest and largest value says which bin covers a place; the
+bin's own smallest and largest values are the next bounds, and so on until they
+are equal.  A round is one filtered scan of the group's distinct values and one
+aggregate that is combined in each task; no value is sorted or range-partitioned.
+Bounds are always values of the data, and the smallest and the largest fall into
+different bins, so every round narrows; a handful of rounds is usual.
 
 Interpolation is linear between the neighbours (position (n - 1) p), the
 definition shared by pandas, numpy, DuckDB ``quantile_cont`` and Spark
@@ -16,56 +19,85 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from tillroll.functions.numeric import ratio_half_up, round_double, unscaled
-from tillroll.operators.ranks import asc, global_prefix
 from tillroll.session import staged
 
+BINS = 1024
+MAX_BROADCAST = 100_000  # bounds of groups
+
 
 def pct_name(p: float) -> str:
     return f"p{int(round(p * 100)):02d}"
 
 
-def _holds(place):
-    """Whether a distinct value covers a 0-based place of its group's order."""
-    return place.between(F.col("_first"), F.col("_last"))
+def selected_values(counts: DataFrame, value: str, wanted: DataFrame, group_cols: list[str], bins: int = BINS) -> DataFrame:
+    """(group columns, _n, _place, _value): the value that covers each wanted 0-based place of a group's order.
+
+    ``counts``: a written table of a group's distinct values and their rows ``_cnt``.  ``wanted``: (group columns, _n,
+    _place, _low, _high), with the group's smallest and largest value."""
+    names = [*group_cols, "_n", "_place", "_low", "_high", "_before"]
+    bounds = [*group_cols, "_low", "_high"]
+    span = F.col("_low") < F.col("_high")
+
+    def written(df):
+        seen = Observation()
+        out = staged(df.select(*names).observe(seen, F.count(F.lit(1)).alias("all"), F.count_if(span).alias("open")), "places")
+        return out, seen.get["all"], seen.get["open"]
+
+    places, n, n_open = written(wanted.withColumn("_before", F.lit(0).cast("bigint")))
+    while n_open:
+        still = places.where(span)
+        ranges = still.select(*bounds).distinct()
+        ranges = F.broadcast(ranges) if n <= MAX_BROADCAST else ranges
+        v, c, r = F.col(f"c.{value}"), counts.alias("c"), ranges.alias("r")
+        inside = v.between(F.col("r._low"), F.col("r._high"))
+        for g in group_cols:
+            inside = (F.col(f"c.{g}") == F.col(f"r.{g}")) & inside
+        share = (v - F.col("r._low")).cast("double") / (F.col("r._high") - F.col("r._low")).cast("double")
+        binned = c.join(r, inside).select(
+            *[F.col(f"r.{b}").alias(b) for b in bounds], v.alias("_v"), "_cnt",
+            F.least(F.lit(bins - 1), F.floor(share * bins)).cast("int").alias("_bin"))
+        histogram = binned.groupBy(*bounds, "_bin").agg(
+            F.sum("_cnt").alias("_k"), F.min("_v").alias("_first"), F.max("_v").alias("_last"))
+        earlier = Window.partitionBy(*bounds).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)  # a row a bin
+        histogram = histogram.withColumn("_ahead", F.coalesce(F.sum("_k").over(earlier), F.lit(0)))
+        at = F.col("_place") - F.col("_before") - F.col("_ahead")
+        narrowed = still.join(histogram, bounds).where((at >= 0) & (at < F.col("_k"))).select(
+            *group_cols, "_n", "_place", F.col("_first").alias("_low"), F.col("_last").alias("_high"),
+            (F.col("_before") + F.col("_ahead")).alias("_before"))
+        places, n, n_open = written(narrowed.unionByName(places.where(~span)))
+    return places.select(*group_cols, "_n", "_place", F.col("_low").alias("_value"))
 
 
 def exact_percentiles(df: DataFrame, value: str, pcts: list[float], group_cols: list[str] = (),
                       names: list[str] | None = None, n_buckets: int | None = None) -> DataFrame:
-    """One row per group: group columns + one column per percentile (NULLs skipped)."""
+    """One row per group: group columns + one column per percentile (NULL values and groups skipped).  ``n_buckets``: bins
+    of a round."""
     names = names or [pct_name(p) for p in pcts]
     group_cols = list(group_cols)
-    # A row a distinct value: what is sorted doesn't grow with ties.
-    d = df.where(F.col(value).isNotNull()).groupBy(*group_cols, value).agg(F.count(F.lit(1)).alias("_cnt"))
-    ranked = global_prefix(d, [asc(g) for g in group_cols] + [asc(value)], ["_cnt"], n_buckets)
-    ranked = ranked.withColumn("_before", F.col("running__cnt") - F.col("_cnt"))
-    if group_cols:
-        gstats = ranked.groupBy(*group_cols).agg(F.min("_before").alias("_start"), F.sum("_cnt").alias("_n"))
-        j = ranked.join(F.broadcast(gstats), group_cols)  # a row a group: the callers group by class or column
-    else:
-        j = ranked.withColumn("_start", F.lit(0)).withColumn("_n", F.col("total__cnt"))
-    j = j.withColumn("_first", F.col("_before") - F.col("_start")).withColumn(
-        "_last", F.col("running__cnt") - F.col("_start") - 1)
+    d = df.where(F.col(value).isNotNull())
+    for c in group_cols:
+        d = d.where(F.col(c).isNotNull())
+    # A row a distinct value: what is scanned doesn't grow with ties.
+    d = staged(d.groupBy(*group_cols, value).agg(F.count(F.lit(1)).alias("_cnt")), "values")
     positions = {}
-    keep = None
     for p, name in zip(pcts, names):
         pos = (F.col("_n") - 1).cast("decimal(20,0)") * F.lit(Decimal(str(p)))
         lo = F.floor(pos).cast("bigint")
-        hi = F.ceil(pos).cast("bigint")
-        positions[name] = (lo, hi, pos - lo)
-        cond = _holds(lo) | _holds(hi)
-        keep = cond if keep is None else keep | cond
-    near = j.where(keep)
+        positions[name] = (lo, F.ceil(pos).cast("bigint"), pos - lo)
+    groups = d.groupBy(*group_cols).agg(F.sum("_cnt").alias("_n"), F.min(value).alias("_low"), F.max(value).alias("_high")).where("_n > 0")
+    places = F.array_distinct(F.array(*[x for lo, hi, _ in positions.values() for x in (lo, hi)]))
+    found = selected_values(d, value, groups.withColumn("_place", F.explode(places)), group_cols, n_buckets or BINS)
     aggs = []
     for name, (lo, hi, frac) in positions.items():
-        aggs += [F.max(F.when(_holds(lo), F.col(value))).alias(f"_{name}_lo"),
-                 F.max(F.when(_holds(hi), F.col(value))).alias(f"_{name}_hi"),
+        aggs += [F.max(F.when(F.col("_place") == lo, F.col("_value"))).alias(f"_{name}_lo"),
+                 F.max(F.when(F.col("_place") == hi, F.col("_value"))).alias(f"_{name}_hi"),
                  F.max(frac).alias(f"_{name}_f")]
-    g = near.groupBy(*group_cols).agg(*aggs)
+    g = found.groupBy(*group_cols).agg(*aggs)
     vtype = df.schema[value].dataType
     out = [F.col(c) for c in group_cols]
     for p, name in zip(pcts, names):
@@ -87,8 +119,8 @@ def exact_percentiles(df: DataFrame, value: str, pcts: list[float], group_cols:
 
 def medians_by(df: DataFrame, group_cols: list[str], cols: list[str], vtype: str,
                names: list[str] | None = None, p: float = 0.5, n_buckets: int | None = None) -> DataFrame:
-    """Exact percentile ``p`` of several columns per group in one ranking pass:
-    the columns are stacked as (metric, value), ranked once with the metric as
+    """Exact percentile ``p`` of several columns per group at once:
+    the columns are stacked as (metric, value), selected from with the metric as
     an extra group key, and pivoted back (one column per input column)."""
     names = names or [f"median_{c}" for c in cols]
     stacked = df.select(*group_cols, F.explode(F.array(*[
