@@ -12,7 +12,7 @@ from tillroll.plans import dashboard, marts
 from tillroll.plans.ingest import daily_load, ingest_dates
 from tillroll.sources import ids
 from tillroll.sources.batches import date_folders, landed_files, read_day_batches
-from tillroll.sources.sales_table import (append_sales, date_versions, file_log_path, load_log_path, read_quarantine, read_sales)
+from tillroll.sources.sales_table import append_sales, date_versions, read_quarantine, read_sales
 
 
 def _local(path):
@@ -24,11 +24,11 @@ def _local(path):
 def test_claims_follow_one_another(spark, scratch, monkeypatch):
     path = f"{scratch}/sales"
     assert [ids.claim_ids(spark, path, n) for n in (5, 1, 10)] == [1, 6, 7]
-    assert ids.claim_ids(spark, path, 3, at_least=100) == 100 and ids.claim_ids(spark, path, 3, at_least=50) == 103
+    assert ids.claim_ids(spark, f"{path}2", 3, lambda: 100) == 100 and ids.claim_ids(spark, f"{path}2", 3, lambda: 500) == 103
     monkeypatch.setattr(ids, "KEPT_SECONDS", -60)
-    assert ids.claim_ids(spark, path, 1) == 106
+    assert ids.claim_ids(spark, path, 1) == 17
     assert len([n for n in os.listdir(_local(ids.ids_path(path))) if n[0] != "."]) == 1  # the highest claim
-    assert ids.claim_ids(spark, path, 1) == 107
+    assert ids.claim_ids(spark, path, 1) == 18
 
 
 def test_loaders_that_see_the_same_state_get_disjoint_ranges(spark, scratch, monkeypatch):
@@ -36,7 +36,7 @@ def test_loaders_that_see_the_same_state_get_disjoint_ranges(spark, scratch, mon
 
     def blind_at_first(fs, root):
         calls.append(1)
-        return {} if len(calls) in (1, 3) else plain(fs, root)  # the first look of the first two attempts sees nothing
+        return {} if len(calls) in (1, 3) else plain(fs, root)  # the first look of both loaders sees nothing
     monkeypatch.setattr(ids, "_claims", blind_at_first)
     assert ids.claim_ids(spark, path, 10) == 1
     assert ids.claim_ids(spark, path, 10) == 11  # sees the other's claim when it lists again, and withdraws its own
@@ -249,3 +249,21 @@ def test_selection_sorts_nothing_by_range(spark, monkeypatch):
     monkeypatch.setattr(stats, "staged", seen)
     stats.exact_percentiles(spark.range(5000).withColumn("v", F.col("id").cast("decimal(20,2)")), "v", [0.1, 0.5]).collect()
     assert len(plans) >= 3 and not any("rangepartitioning" in p for p in plans)
+
+
+# ---- counts taken while writing -------------------------------------------------------------------------------------
+
+def test_overview_from_the_load_log(spark, scratch):
+    from tillroll.plans.coverage import load_overview, logged_overview
+    landing, sales_path = f"{scratch}/landing", f"{scratch}/sales"
+    days = ["2024-10-01", "2024-10-02", "2024-10-05"]
+    assert tuple(logged_overview(spark, sales_path).first()) == (None, None, 0, 0)
+    for i, d in enumerate(days):
+        land(landing, d, [day_rec(d, client=c) for c in range(1, 3 + i)])
+    ingest_dates(spark, landing, sales_path, days)
+    land(landing, days[0], [day_rec(days[0], client=9)], "part-1.json")  # loaded again: its last count holds
+    ingest_dates(spark, landing, sales_path, days)
+    want = load_overview(read_sales(spark, sales_path)).first()
+    assert logged_overview(spark, sales_path).first() == want and want.total_rows == 10
+    append_sales(_sales_of(spark, [("2024-11-01", 1, 1)]).withColumn("loaded_at", F.current_timestamp()), sales_path)  # not logged
+    assert logged_overview(spark, sales_path).first().total_rows == 11

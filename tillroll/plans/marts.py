@@ -10,6 +10,8 @@ through ``operators.ranks`` so no step runs in a single task.
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 import uuid
 from decimal import Decimal
 
@@ -21,7 +23,7 @@ from tillroll.functions.numeric import (INT, as_int, avg_half_up, cents, int_div
                                         ratio_half_up, sqrt_half_up)
 from tillroll.operators.ranks import asc, cume_counts_many, desc, global_prefix
 from tillroll.schema import ABC_A, ABC_B, XYZ_MART_X, XYZ_MART_Y
-from tillroll.session import staged
+from tillroll.session import read_text, replace_text, staged
 
 D20 = "decimal(20,2)"
 
@@ -366,19 +368,19 @@ def replace_table(df: DataFrame, path: str, by: list[str] = ()) -> None:
 
 
 def _coverage_path(out: str, name: str) -> str:
-    return f"{out.rstrip('/')}/_coverage/{name}"
+    return f"{out.rstrip('/')}/_coverage/{name}.json"
 
 
 def covered_versions(spark, out: str, name: str) -> dict | None:
     """The dates, and their versions, that a mart was last built from; None if that isn't known."""
-    path = _coverage_path(out, name)
-    return {r.purchase_date: r.version for r in spark.read.parquet(path).collect()} if _exists(spark, path) else None
+    text = read_text(spark, _coverage_path(out, name))
+    return {dt.date.fromisoformat(d): v for d, v in json.loads(text).items()} if text is not None else None
 
 
 def _cover(spark, out: str, name: str, versions: dict) -> None:
-    """Written after the mart, so an interrupted refresh leaves dates to rebuild, never a wrong claim."""
-    rows = spark.createDataFrame(sorted(versions.items()), "purchase_date date, version bigint")
-    replace_table(rows.coalesce(1), _coverage_path(out, name))
+    """Written after the mart, so an interrupted refresh leaves dates to rebuild, never a wrong claim.  An entry a
+    calendar day."""
+    replace_text(spark, _coverage_path(out, name), json.dumps({d.isoformat(): v for d, v in sorted(versions.items())}))
 
 
 def _refresh_by_month(build, sales: DataFrame, out: str, name: str, versions: dict, months: list) -> None:

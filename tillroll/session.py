@@ -75,6 +75,30 @@ def hadoop_path(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text, None where there is none."""
+    p, fs = hadoop_path(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file beside its place and move it there; after a crash there may be none."""
+    p, fs = hadoop_path(spark, path)
+    new, _ = hadoop_path(spark, f"{path}__new-{uuid.uuid4().hex}")
+    stream = fs.create(new, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    fs.delete(p, False)
+    if not fs.rename(new, p):
+        raise RuntimeError(f"could not put {path} in place")
+
+
 def staged(df: DataFrame, tag: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder (shared on a cluster) and read it back: lineage
     is cut, later jobs prune columns, and a lost executor loses nothing."""
