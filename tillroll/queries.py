@@ -214,12 +214,12 @@ def _refreshed(name):
         late = (F.col("batch_date") == F.lit(late_date)) & (F.col("pos") % 2 == 0)
         land_fixture_records(records.where(~late), root)
         ingest.ingest_dates(s, root, sales_path, dates[1:2])
-        marts.refresh_marts(read_sales(s, sales_path), out, versions=date_versions(s, sales_path))
+        marts.refresh_marts(read_sales(s, sales_path), out, [name], versions=date_versions(s, sales_path))
         ingest.ingest_dates(s, root, sales_path, dates[:-1])
-        marts.refresh_marts(read_sales(s, sales_path), out, versions=date_versions(s, sales_path))
+        marts.refresh_marts(read_sales(s, sales_path), out, [name], versions=date_versions(s, sales_path))
         land_fixture_records(records.where(late), root, mode="append")  # a file that lands late replaces its date
         ingest.ingest_dates(s, root, sales_path, [late_date])
-        ingest.daily_load(s, root, sales_path, dates[-1] + dt.timedelta(days=1), out)
+        ingest.daily_load(s, root, sales_path, dates[-1] + dt.timedelta(days=1), out, names=[name])
         got = s.read.parquet(f"{out}/{name}")
         return got.drop("month_start") if name == "daily_sales" else got
     return query
