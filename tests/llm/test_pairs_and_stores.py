@@ -152,3 +152,26 @@ def test_look_up_over_many_blocks_and_payloads(spark, scratch, monkeypatch):
 def test_url_keys():
     assert warc.url_key("https://www.Example.com:443/a?b=1") == "com,example)/a?b=1"
     assert warc.url_key("http://example.com:8080") == "com,example:8080)/" and warc.url_key(None) == "" and "\n" not in warc.url_key("a\nb")
+
+
+def test_members_up_to_the_looser_distance_are_compared():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 16, near_dups.SYMBOLS).astype(np.uint64)
+    rows = [base]
+    for k in (1, 17, 18, 24, 25, 45):
+        other = base.copy()
+        other[:k] ^= np.uint64(5)  # k nibbles differ from the first row
+        rows.append(other)
+    s0, s1, s2 = near_dups.nibbles(np.array(rows)).T
+    group = {"s0": s0, "s1": s1, "s2": s2, "n_shingles": [100] * 7, "root": np.arange(7)}
+    assert next(near_dups._near_members(group))[1].tolist() == [1, 2, 3, 4]
+
+
+def test_borderline_links_are_found(spark):
+    rows = []
+    for k in range(150):  # two texts of 408 words: 404 shingles each, 372 shared, 372 / 436 = 0.853
+        words = [f"d{k}w{i}" for i in range(408)]
+        other = words[:376] + [f"x{k}w{i}" for i in range(32)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    got = near_dups.near_duplicates(docs_frame(spark, rows)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i - i % 2 for i in range(300)}

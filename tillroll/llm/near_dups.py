@@ -9,16 +9,17 @@ component, and its document with the smallest id stays.
 2. Documents of one word sequence have one set: they form a class, and its smallest id stands for it.
 3. Two signatures that differ in at most 17 of the 45 symbols differ in at most one symbol of some
    chunk (pigeonhole: 9 x 2 > 17).  So every chunk is indexed five times, each time without one of its
-   symbols, and all pairs within that distance meet under some key.  For a pair at similarity 0.85 the
-   chance of more than 17 differences is about 2 in 100,000; it falls quickly above.
+   symbols, and all pairs within that distance meet under some key.  Most pairs further apart meet too: at
+   similarity 0.85 the chance of meeting under no key is about 1 in 10 million; it falls quickly above.
 4. Round one links each member of a key's bucket to the bucket's smallest id: as many pairs as
-   members, however large the bucket.  Pairs far apart in size or signature are dropped, the others
+   members, however large the bucket.  Pairs far apart in size or signature are dropped (more than ``MAX_APART``
+   differing symbols: less than 1 in a billion at 0.85), the others
    are confirmed on the full sets of the texts, and components are found by star contraction.
 5. Round two takes the buckets that still hold several components.  Their members meet once for each
    smallest id (their home), in tiles of two blocks of a home.  A tile's task compares signatures of members
    of different components and keeps the members that have anyone near; for those it then gets the
-   texts, confirms pairs nearest first, and skips pairs that are connected by then.  It returns links
-   that join components, never pairs, and no link between different texts is lost.
+   texts, confirms member by member, and skips pairs that are connected by then.  It returns links
+   that join components and never holds more than one member's pairs.
 
 Buckets are aggregated before they are joined and joins are left to adaptive skew splitting, so one key
 may hold a large part of all rows.  No link, component or signature goes to the driver.
@@ -37,14 +38,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import staged
+from tillroll.llm.common import staged, staged_few
 from tillroll.llm.rows import map_slices
 
 SHINGLE = 5
 LINK_PCT = 85
 CHUNKS, CHUNK_SYMBOLS = 9, 5
 SYMBOLS = CHUNKS * CHUNK_SYMBOLS
-MAX_DIFFERENT = 2 * CHUNKS - 1
+MAX_DIFFERENT = 2 * CHUNKS - 1  # all pairs within this meet
+MAX_APART = 24                  # pairs that met are confirmed up to this
 BLOCK = 8192  # shingles hashed at once
 KEPT_WORDS = 300_000
 TILE_BLOCK = 1024  # members of a home in a block
@@ -157,9 +159,9 @@ def _different(x: str, y: str) -> Column:
 
 
 def _near(x: str, y: str) -> Column:
-    """What two linked sets cannot fail: sizes within 85 %, signatures within the index's distance."""
+    """What two linked sets cannot fail: sizes within 85 %, signatures not too far apart."""
     n, m = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
-    return (100 * F.least(n, m) >= LINK_PCT * F.greatest(n, m)) & (_different(x, y) <= MAX_DIFFERENT)
+    return (100 * F.least(n, m) >= LINK_PCT * F.greatest(n, m)) & (_different(x, y) <= MAX_APART)
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -212,11 +214,11 @@ def _groups(batches, n_keys: int = 3):
         yield key, dict(zip(names, map(list, zip(*rows))))
 
 
-def _near_pairs(group: dict) -> list[tuple[int, int, int]]:
-    """(differing nibbles, x, y), x < y: a tile's members of different components that could be linked."""
+def _near_members(group: dict):
+    """(x, later members y) of a tile for each x: those of other components that could be linked, nearest first.
+    ``group["root"]`` is an array that the caller may change on the way."""
     low = np.array([group["s0"], group["s1"], group["s2"]], np.int64).view(_U).T
-    size, root = np.array(group["n_shingles"]), np.array(group["root"])
-    found = []
+    size, root = np.array(group["n_shingles"]), group["root"]
     ones = _U(0x1111111111111111)
     for x in range(len(size) - 1):
         rest = slice(x + 1, None)
@@ -226,8 +228,8 @@ def _near_pairs(group: dict) -> list[tuple[int, int, int]]:
             d |= d >> _U(1)
             d |= d >> _U(2)
             count = np.bitwise_count(d & ones).sum(1)
-            found += [(int(c), x, int(k)) for c, k in zip(count, y) if c <= MAX_DIFFERENT]
-    return found
+            order = np.argsort(count, kind="stable")
+            yield x, y[order[:int((count <= MAX_APART).sum())]]
 
 
 def members_near(rows: DataFrame) -> DataFrame:
@@ -237,7 +239,12 @@ def members_near(rows: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
         for _, group in _groups(batches):
-            keep = sorted({k for _, x, y in _near_pairs(group) for k in (x, y)})
+            root = group["root"] = np.array(group["root"])
+            near = np.zeros(len(root), bool)
+            for x, y in _near_members(group):
+                near[y] = True
+                near[x] |= len(y) > 0
+            keep = np.flatnonzero(near).tolist()
             if keep:
                 yield pa.RecordBatch.from_pydict({n: pa.array([v[k] for k in keep], pa.int32() if n in "ij" else pa.int64()) for n, v in group.items()})
 
@@ -250,29 +257,27 @@ def tile_links(rows: DataFrame) -> DataFrame:
         import pyarrow as pa
         shingler = Shingler()
         for _, group in _groups(batches):
-            up: dict[int, int] = {}
+            root = group["root"] = np.array(group["root"])
+            sets: dict[int, np.ndarray] = {}
 
-            def top(r):
-                while up.get(r, r) != r:
-                    r = up[r]
-                return r
+            def set_of(k):
+                if k not in sets:
+                    sets[k] = shingler.shingles(shingler.words(group["text"][k] or ""))
+                return sets[k]
 
-            sets: dict[int, np.ndarray] = {}
             out = {"a": [], "b": []}
-            for _, x, y in sorted(_near_pairs(group)):
-                rx, ry = top(group["root"][x]), top(group["root"][y])
-                if rx == ry:
-                    continue
-                for k in (x, y):
-                    if k not in sets:
-                        sets[k] = shingler.shingles(shingler.words(group["text"][k] or ""))
-                small, large = sorted((sets[x], sets[y]), key=len)
-                at = np.minimum(large.searchsorted(small), len(large) - 1)
-                shared = int(np.count_nonzero(large[at] == small)) if len(small) else 0
-                if shared and 100 * shared >= LINK_PCT * (len(small) + len(large) - shared):
-                    up[max(rx, ry)] = min(rx, ry)
-                    out["a"].append(group["id"][x])
-                    out["b"].append(group["id"][y])
+            for x, ys in _near_members(group):
+                for y in ys.tolist():
+                    if root[x] == root[y]:
+                        continue
+                    small, large = sorted((set_of(x), set_of(y)), key=len)
+                    at = np.minimum(large.searchsorted(small), len(large) - 1)
+                    shared = int(np.count_nonzero(large[at] == small)) if len(small) else 0
+                    if shared and 100 * shared >= LINK_PCT * (len(small) + len(large) - shared):
+                        root[root == max(root[x], root[y])] = min(root[x], root[y])
+                        out["a"].append(group["id"][x])
+                        out["b"].append(group["id"][y])
+                sets.pop(x, None)  # no later member looks back
             if out["a"]:
                 yield pa.RecordBatch.from_pydict(out)
 
@@ -282,7 +287,7 @@ def tile_links(rows: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of edges (a, b), root the smallest node of its component: large-star
     and small-star contraction until nothing changes; every step is a written table."""
-    e = staged(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
+    e = staged_few(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges", edges.count())
     before = None
     while True:
         mark = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
@@ -296,7 +301,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = (large.join(least, "u").select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("x"))
             .select("x.u", "x.v").where("u <> v").distinct())
-        e = staged(small, "edges")
+        e = staged_few(small, "edges", mark["n"])
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -314,15 +319,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     meeting = staged(keys.join(buckets.select("key", "least"), "key").select("key", "id", "least"), "buckets")
 
     stars = meeting.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
-    stars = staged(stars.join(facts.alias("x"), F.col("a") == F.col("x.id")).join(facts.alias("y"), F.col("b") == F.col("y.id"))
-                   .where(_near("x", "y")).select("a", "b"), "stars")
+    n_meeting = meeting.count()
+    stars = staged_few(stars.join(facts.alias("x"), F.col("a") == F.col("x.id")).join(facts.alias("y"), F.col("b") == F.col("y.id"))
+                       .where(_near("x", "y")).select("a", "b"), "stars", n_meeting)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     labels = components(staged(confirmed(stars, texts), "links"))
 
     placed = meeting.join(labels, meeting["id"] == labels["node"], "left").select(
         "key", "id", F.col("least").alias("home"), F.coalesce("root", "id").alias("root"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
-    members = staged(placed.join(mixed, "key", "left_semi").select("home", "id", "root").distinct(), "members")
+    members = staged_few(placed.join(mixed, "key", "left_semi").select("home", "id", "root").distinct(), "members", n_meeting)
     blocks = members.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / TILE_BLOCK).cast("int").alias("blocks"))
     dealt = members.join(blocks, "home").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
@@ -333,7 +339,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     joined = (found.join(roots.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a", "left")
               .join(roots.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b", "left")
               .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
-    merged = components(joined)
+    merged = components(staged_few(joined, "joined", found.count()))
     final = reps.select("class", "id").join(roots, "id", "left").select("class", F.coalesce("root", "id").alias("root1"))
     final = (final.join(merged, final["root1"] == merged["node"], "left")
              .select("class", F.coalesce("root", "root1").alias("component")))
