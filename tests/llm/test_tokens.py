@@ -32,6 +32,10 @@ def test_round_trip_equals_tiktoken(spark, codec, exact):
         got = sorted((str(r.doc_id), r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.round_trip_digests(df, codec).collect())
         assert got == want
     assert bpe.round_trip_digests(empty_docs(spark), codec).count() == 0
+    split = {r.doc_id: r.n_split_chars for r in bpe.round_trip(docs_frame(spark, [(1, "plain words"), (2, "naïve 😀😀 中文!"), (3, None)]), codec).collect()}
+    assert split[1] == split[3] == 0 < split[2]
+    both = bpe.decode_bpe(bpe.encode_bpe(docs_frame(spark), codec), codec).collect()
+    assert sorted(str(r.decoded) for r in both) == sorted(str((t or "").encode()) for _, t in DOCS)
 
 
 @settings(max_examples=400, deadline=None)
@@ -50,7 +54,7 @@ def test_offsets_and_split_characters(spark, codec):
     rows = bpe.encode_bpe(docs_frame(spark, [(1, "naïve 😀😀 中文!")]), codec).collect()
     r, text = rows[0], "naïve 😀😀 中文!"
     assert len(r.ids) == len(r.char_start) == len(r.char_end) and r.char_start[0] == 0 and r.char_end[-1] == len(text)
-    pieces = [codec.tokens[i] for i in r.ids]
+    pieces = [codec.decode(np.array([i])) for i in r.ids]
     assert any(not _whole(p) for p in pieces)              # a character is split over tokens
     assert all(a < b for a, b in zip(r.char_start, r.char_end))
     for p, a, b in zip(pieces, r.char_start, r.char_end):
@@ -85,3 +89,14 @@ def test_a_hot_text_is_counted_for_every_row(spark):
     rows = [(i, "the same text again") for i in range(700)] + [(i, f"text {i}") for i in range(700, 900)]
     got = token_counts(docs_frame(spark, rows), Counter(P.path("piece_bpe_32k.model"))).collect()
     assert sorted(r.doc_id for r in got) == list(range(900)) and len({r.n_tokens for r in got if r.doc_id < 700}) == 1
+
+
+def test_hits_and_misses_meet_in_one_call(spark, scratch):
+    tokenizer, cache = Counter(P.path("piece_bpe_32k.model")), f"{scratch}/cache"
+    plain = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
+    old = [(i, f"text number {i % 40}") for i in range(120)]
+    token_counts(docs_frame(spark, old), tokenizer, cache).count()
+    assert read_cache(spark, cache).count() == 40
+    rows = old + [(200 + i, f"newer text {i % 7}") for i in range(30)] + [(300, None)]
+    got = {r.doc_id: r.n_tokens for r in token_counts(docs_frame(spark, rows), tokenizer, cache).collect()}
+    assert got == {i: len(plain.encode(t or "")) for i, t in rows} and read_cache(spark, cache).count() == 48
