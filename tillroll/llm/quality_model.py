@@ -3,7 +3,7 @@ partition-summed normal equations, isotonic calibration.
 
 1. One pass over the texts writes about 20 statistics a document to the shared folder.
 2. Labelled rows outside the held-out fold are joined to them by id (no text moves).  Folds 0 and 1
-   fit, fold 3 calibrates.  At most ``MAX_FIT_ROWS`` labelled rows are used, chosen by id hash.
+   fit, fold 3 calibrates.  At most ``MAX_FIT_ROWS`` labelled rows are used, chosen by a hash of id and statistics.
 3. Standardised statistics go through fixed random cosines (a Gaussian kernel's features); each
    partition sums its normal equations, and at most ``FIT_PARTITIONS`` such sums reach the driver.
 4. Raw scores of the calibration rows are counted in 400 bins; pooled adjacent violators make the
@@ -11,8 +11,8 @@ partition-summed normal equations, isotonic calibration.
 5. Every document's statistics are scored (no second pass over the texts).
 
 Defined results: null and empty texts have all-zero statistics and are scored like any other.
-Labels other than 0 and 1, and labels of unknown ids, are ignored; an id that repeats is used as
-often as it is labelled.  Without labels of both kinds every score is their share (0.5 for none).
+Labels other than 0 and 1, and labels of unknown ids, are ignored; an id that repeats is used once for
+each of its different texts and labels.  Without labels of both kinds every score is their share (0.5 for none).
 Null ids belong to fold 0.  Extra columns are ignored, whatever their names.
 """
 
@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import HELD_OUT, fold_of, staged
+from tillroll.llm.common import HELD_OUT, bounded_sample, fold_of, hash_limit, staged
 from tillroll.llm.rows import SLICE_ROWS, map_slices
 
 MAX_FIT_ROWS = 200_000
@@ -72,13 +72,13 @@ def with_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def labelled(stats: DataFrame, labels: DataFrame, label_col: str, max_rows: int) -> DataFrame:
-    """Rows (fold, y, stats) of labelled documents outside the held-out fold, at most about ``max_rows``."""
+    """Rows (fold, y, stats) of labelled documents outside the held-out fold, at most ``max_rows`` joined rows; documents and
+    labels that repeat count once."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).where(
-        F.col("y").isin(0, 1) & (fold_of(F.col("doc_id")) != HELD_OUT))
-    n = known.count()
-    if n > max_rows:
-        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * max_rows / n))
-    return stats.join(known, "doc_id").select(fold_of(F.col("doc_id")).alias("fold"), "y", "stats")
+        F.col("y").isin(0, 1) & (fold_of(F.col("doc_id")) != HELD_OUT)).distinct()
+    joined = stats.select("doc_id", "stats").join(known, "doc_id")
+    chosen = bounded_sample(joined, F.lit(hash_limit(max_rows, joined.count())), "doc_id", "y", "stats")
+    return chosen.select(fold_of(F.col("doc_id")).alias("fold"), "y", "stats")
 
 
 class Ridge:
@@ -197,18 +197,24 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label_col: str = "quality
 
 def good_documents(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
                    text_col: str = "text", threshold: float = THRESHOLD, max_fit_rows: int = MAX_FIT_ROWS) -> DataFrame:
-    """The rows of ``docs`` whose own text is predicted good; each is scored in place (a second pass over the
-    texts), so ids that are null or repeat decide nothing."""
-    scores = fit_scores(staged(with_stats(docs, id_col, text_col), "quality-stats"), labels, label_col, max_fit_rows)
-
-    @F.arrow_udf("boolean")
-    def good(texts):
+    """The rows of ``docs`` whose own text is predicted good.  Rows are written once with their statistics, so a text is
+    read by Python once, and each row is judged by its own: ids that are null or repeat decide nothing."""
+    @F.arrow_udf("array<float>")
+    def stats(texts):
         import pyarrow as pa
         found = []
         for at in range(0, len(texts), SLICE_ROWS):
-            part = texts.slice(at, SLICE_ROWS).to_pylist()
-            # statistics are stored as floats
-            found += (scores(np.array([document_stats(t) for t in part], np.float32).astype(np.float64)) >= threshold).tolist()
-        return pa.array(found, pa.bool_())
+            found += [document_stats(t) for t in texts.slice(at, SLICE_ROWS).to_pylist()]
+        return pa.array(found, pa.list_(pa.float32()))
+
+    body = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    rows = staged(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                              F.col(f"`{id_col}`").cast("long").alias("doc_id"), stats(body).alias("stats")), "quality-rows", "zstd")
+    scores = fit_scores(rows.select("doc_id", "stats"), labels, label_col, max_fit_rows)
+
+    @F.arrow_udf("boolean")
+    def good(of):
+        import pyarrow as pa
+        return pa.array(scores(_matrix(of)) >= threshold, pa.bool_())
 
-    return docs.where(good(F.coalesce(F.col(text_col), F.lit(""))))
+    return rows.where(good("stats")).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
