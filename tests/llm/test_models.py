@@ -124,3 +124,55 @@ def test_ftrl_separates_and_drops_noise(spark):
     df = spark.createDataFrame(rows, "idx array<int>, val array<float>, target array<float>")
     w = ftrl.train(df, ftrl.Ftrl(1, 64, alpha=0.5, l1=1.0, l2=0.1), 3)[0]
     assert w[2] > 1 > -1 > w[1] and (w[10:60] == 0).mean() > 0.5
+
+
+# ---- bounds of what is fitted on, where ids are null or repeat -----------------------------------------------------
+
+def _odd_ids(n=3000):
+    """A third of the ids null, a third one id (of fold 0 or 1), the rest distinct; all texts differ."""
+    hot = next(i for i in range(1000, 1100) if not _held(i))
+    return [((None, hot, 5000 + i)[i % 3], f"text {i} " + ("the and of with " if i % 2 else "der die und mit ") * (5 + i % 40)) for i in range(n)]
+
+
+def test_bounded_samples_choose_rows_not_ids(spark):
+    from tillroll.llm.common import bounded_sample, hash_limit
+    df = spark.createDataFrame(_odd_ids(), "doc_id long, text string")
+    got = bounded_sample(df, F.lit(hash_limit(600, 3000)), "doc_id", "text").collect()
+    kinds = [sum(r.doc_id is None for r in got), sum(r.doc_id is not None and r.doc_id < 5000 for r in got)]
+    assert 350 < len(got) <= 600 and all(100 < k < 240 for k in kinds) and len({r.h for r in got}) == len(got)
+    assert bounded_sample(df, F.lit(hash_limit(3000, 3000)), "doc_id", "text").count() == 3000
+    same = spark.createDataFrame([(None, "one text")] * 500 + [(1, "another")], "doc_id long, text string")
+    assert bounded_sample(same, F.lit(hash_limit(501, 501)), "doc_id", "text").count() == 2
+
+
+def test_language_training_rows_keep_their_bound(spark):
+    rows = _odd_ids()
+    df = spark.createDataFrame([(i, t, "en" if " the " in t else "de") for i, t in rows], "doc_id long, text string, lang string")
+    learnable = [t for i, t in rows if i is None or not _held(i)]
+    sizes = {"en": sum(" the " in t for t in learnable), "de": sum(" der " in t for t in learnable)}
+    fit = language.training_rows(df, ["de", "en"], sizes, 300, np.ones(language.WIDTH)).collect()
+    each = [sum(r.target[k] for r in fit) for k in (0, 1)]
+    assert all(150 < n <= 300 for n in each)
+    got = language.languages(df, per_language=200).collect()
+    assert len(got) == 3000 and np.mean([(r.lang_pred == "de") == (" der " in t) for r, t in zip(got, [x.text for x in df.collect()])]) > 0.99
+
+
+def test_quality_labels_of_repeated_ids(spark):
+    rows = _odd_ids(900)
+    hot = rows[1][0]
+    stats = quality_model.with_stats(spark.createDataFrame(rows, "doc_id long, text string"))
+    labels = spark.createDataFrame([(hot, 1), (hot, 1), (hot, 0), (None, 1)] + [(i, i % 2) for i, _ in rows if i and i >= 5000], "doc_id long, quality int")
+    fit = quality_model.labelled(stats, labels, "quality", 200).collect()
+    assert 30 < len(fit) <= 200 and {r.fold for r in fit} <= {0, 1, 3}  # equal statistics count once
+    everything = quality_model.labelled(stats, labels, "quality", 10 ** 6).collect()
+    texts = {tuple(r.stats) for r in stats.where(F.col("doc_id") == hot).collect()}
+    known = sum(1 for i, _ in rows if i and i >= 5000 and not _held(i))
+    assert len(everything) <= 2 * len(texts) + known
+
+
+def test_toxicity_with_null_and_repeated_ids(spark):
+    rows = [(i, t + (" you stupid worthless idiot" if k % 10 == 0 else "")) for k, (i, t) in enumerate(_odd_ids(900))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int("idiot" in t)) for i, t in rows if i and i >= 5000] + [(rows[1][0], 0)] * 3, "doc_id long, toxic int")
+    got = toxicity.toxicity_scores(docs, labels, max_labelled_rows=150, max_train_rows=200).collect()
+    assert len(got) == 900 and np.mean([r.predicted == int("idiot" in t) for r, (_, t) in zip(got, rows)]) > 0.95

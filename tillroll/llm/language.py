@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import HELD_OUT, fold_of, staged
+from tillroll.llm.common import HELD_OUT, bounded_sample, fold_of, hash_limit, staged
 from tillroll.llm.ftrl import PARTITIONS, Ftrl, probabilities, sparse_logits, train
 from tillroll.llm.rows import map_slices, runs
 
@@ -80,11 +80,11 @@ def tf_idf(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def training_rows(docs: DataFrame, languages: list[str], sizes: dict[str, int], per_language: int,
                   idf: np.ndarray) -> DataFrame:
     """Rows (fold, idx, val, target) of the chosen labelled documents (doc_id, text, lang)."""
-    rate = F.lit(0)
+    limit = F.lit(-1).cast("long")
     for name in languages:
-        rate = F.when(F.col("lang") == name, min(1 << 20, int((1 << 20) * per_language / sizes[name]) + 1)).otherwise(rate)
-    chosen = docs.where((fold_of(F.col("doc_id")) != HELD_OUT) & F.col("lang").isin(languages)
-                        & (F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(1 << 20)) < rate))
+        limit = F.when(F.col("lang") == name, hash_limit(per_language, sizes[name])).otherwise(limit)
+    learnable = docs.where((fold_of(F.col("doc_id")) != HELD_OUT) & F.col("lang").isin(languages))
+    chosen = bounded_sample(learnable, limit, "doc_id", "lang", "text")
     place = {name: i for i, name in enumerate(languages)}
 
     def make():
@@ -94,7 +94,7 @@ def training_rows(docs: DataFrame, languages: list[str], sizes: dict[str, int],
                     "target": [np.eye(len(place), dtype=np.float32)[place[x]] for x in r["lang"].to_pylist()]}
         return step
 
-    mixed = chosen.select(fold_of(F.col("doc_id")).alias("fold"), "text", "lang", F.xxhash64("doc_id").alias("h"))
+    mixed = chosen.select(fold_of(F.col("doc_id")).alias("fold"), "text", "lang", "h")
     mixed = mixed.repartition(PARTITIONS, "h").sortWithinPartitions("h")
     return map_slices(mixed, make, "fold int, idx array<int>, val array<float>, target array<float>")
 

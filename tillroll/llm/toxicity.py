@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import HELD_OUT, fold_of, staged
+from tillroll.llm.common import HELD_OUT, bounded_sample, fold_of, hash_limit, staged
 from tillroll.llm.ftrl import PARTITIONS, Ftrl, probabilities, train
 from tillroll.llm.rows import map_slices
 
@@ -164,7 +164,7 @@ def document_counts(texts: DataFrame, only: frozenset[str] | None = None) -> Dat
     return texts.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def learned_words(d: DataFrame, labels: DataFrame, label_col: str) -> tuple[list[str], float]:
+def learned_words(d: DataFrame, labels: DataFrame, label_col: str, max_rows: int = MAX_LABELLED_ROWS) -> tuple[list[str], float]:
     """Words and stems that mark toxic labelled documents, and the labelled share of toxic ones.
 
     One must be in ``MIN_TOXIC_DOCS`` toxic documents and twenty times as common there as in clean
@@ -176,10 +176,10 @@ def learned_words(d: DataFrame, labels: DataFrame, label_col: str) -> tuple[list
     total = sum(n.values())
     if len(n) < 2:
         return [], n.get(1, 0) / total if total else BASE_RATE
-    if total > MAX_LABELLED_ROWS:
-        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * MAX_LABELLED_ROWS / total))
-    # about MAX_LABELLED_ROWS ids at most: they go to the texts, not the texts to them
+    # a bounded number of labels: they go to the texts, not the texts to them; a row a text where ids repeat
+    known = bounded_sample(known, F.lit(hash_limit(max_rows, total)), "doc_id", "y").drop("h")
     rows = d.join(F.broadcast(known), "doc_id")
+    rows = bounded_sample(rows, F.lit(hash_limit(max_rows, rows.select("doc_id").count())), "doc_id", "y", "text")
     toxic = {r["word"]: r["n"] for r in document_counts(rows.where("y = 1")).where(
         f"n >= {MIN_TOXIC_DOCS} or word is null").collect()}  # of a bounded sample's toxic part
     pos = toxic.pop(None, 0)
@@ -231,10 +231,13 @@ def posterior(votes: int, toxic: np.ndarray, clean: np.ndarray, weight: np.ndarr
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id",
-                    text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """Rows (doc_id, held_out, score, predicted); the models are fitted at once, scoring runs on use."""
+                    text_col: str = "text", threshold: float = THRESHOLD, max_labelled_rows: int = MAX_LABELLED_ROWS,
+                    max_train_rows: int = MAX_TRAIN_ROWS, least_steps: int = LEAST_STEPS) -> DataFrame:
+    """Rows (doc_id, held_out, score, predicted); the models are fitted at once, scoring runs on use.  At most
+    ``max_labelled_rows`` labelled rows give the learned lexicons, ``max_train_rows`` rows train the classifier,
+    in as many epochs (2 to 15) as show it ``least_steps`` rows."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    learned, share = learned_words(d, labels, label_col)
+    learned, share = learned_words(d, labels, label_col, max_labelled_rows)
     share = min(0.5, max(0.001, share))
     names = voter_names()
 
@@ -250,8 +253,9 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, label_col: str = "toxic"
     if n:
         joint = np.array([[sums[f"j{min(i, k)}_{max(i, k)}"] for k in range(len(names))] for i in range(len(names))], float)
         toxic, clean, weight = label_model(np.diag(joint).copy(), joint, n, share)
-        rate = min(1 << 20, (1 << 20) * MAX_TRAIN_ROWS // n + 1)
-        chosen = d.where((fold_of(F.col("doc_id")) != HELD_OUT) & (F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(1 << 20)) < rate))
+        learnable = d.where(fold_of(F.col("doc_id")) != HELD_OUT)
+        n_learnable = votes.where(fold_of(F.col("doc_id")) != HELD_OUT).count()
+        chosen = bounded_sample(learnable, F.lit(hash_limit(max_train_rows, n_learnable)), "doc_id", "text")
 
         def features():
             voters, known = Voters(learned), Memo(lambda w: tuple(map(column, forms(w))))
@@ -263,9 +267,9 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, label_col: str = "toxic"
                         "target": [[posterior(voters.votes(t), toxic, clean, weight, share)] for t in texts]}
             return step
 
-        rows = chosen.select("text", F.xxhash64("doc_id").alias("h")).repartition(PARTITIONS, "h").sortWithinPartitions("h")
+        rows = chosen.select("text", "h").repartition(PARTITIONS, "h").sortWithinPartitions("h")
         rows = staged(map_slices(rows, features, "idx array<int>, val array<float>, target array<float>"), "toxic-fit")
-        epochs = min(15, max(2, -(-LEAST_STEPS // max(1, rows.count()))))
+        epochs = min(15, max(2, -(-least_steps // max(1, rows.count()))))
         weights = train(rows, Ftrl(1, WIDTH, alpha=1.0, l1=0.5, l2=0.1), epochs)[0]
     sent = d.sparkSession.sparkContext.broadcast({int(c): float(weights[c]) for c in np.flatnonzero(weights)})
 
