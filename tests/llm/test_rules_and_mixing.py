@@ -80,3 +80,14 @@ def test_mixed_order_in_files(spark):
     rows = in_mixed_order(mix_sources(table(spark, "documents"))).withColumn("part", F.spark_partition_id()).collect()
     order = [(r.part, r.slot, r.in_block) for r in rows]
     assert [x[1:] for x in sorted(order)] == sorted(x[1:] for x in order)
+
+
+def test_mixing_with_any_column_names(spark):
+    rows = [(i, f"s{i % 3}", i, "x", 5, 6, 7, 8) for i in range(200)]
+    names = ["doc_id", "source", "q", "period", "src", "rank", "row", "a.b"]
+    docs = spark.createDataFrame(rows, names)
+    out = mix_sources(docs)
+    assert out.columns[:8] == names and out.dtypes[:8] == docs.dtypes
+    assert sorted(tuple(r)[:8] for r in out.collect()) == sorted(rows)
+    plain = {r.doc_id: (r.slot, r.in_block) for r in mix_sources(docs.select("doc_id", "source")).collect()}
+    assert {r.doc_id: (r.slot, r.in_block) for r in out.collect()} == plain

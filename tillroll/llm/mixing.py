@@ -36,7 +36,7 @@ def _source_key(source: Column) -> Column:
 
 def root_weights(docs: DataFrame, source_col: str = "source") -> DataFrame:
     """Default targets: weight = whole square root of the source's size, between even and natural."""
-    return (docs.groupBy(F.col(source_col).alias("source")).agg(F.count(F.lit(1)).alias("n"))
+    return (docs.groupBy(F.col(f"`{source_col}`").alias("source")).agg(F.count(F.lit(1)).alias("n"))
             .select("source", F.floor(F.sqrt("n")).cast("long").alias("weight")))
 
 
@@ -75,21 +75,20 @@ def one_period(shares: DataFrame) -> DataFrame:
 
 
 def ranks_in_source(docs: DataFrame, id_col: str, source_col: str) -> DataFrame:
-    """Adds ``__src`` and ``__rank`` (from 0, in md5 order of the id) without sorting a whole source."""
-    digest = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
-    d = docs.withColumn("__src", _source_key(F.col(source_col))).withColumn("__md5", digest)
-    sizes = d.groupBy("__src").agg(F.ceil(F.sqrt(F.count(F.lit(1)))).cast("long").alias("__ranges"))
+    """Rows (row, src, rank): the input row as a struct, so that its columns may have any name, and its rank in its source
+    (from 0, in md5 order of the id), without sorting a whole source."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    digest = F.md5(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).cast("binary"))
+    d = docs.select(row.alias("row"), F.col(f"`{id_col}`").alias("id"), _source_key(F.col(f"`{source_col}`")).alias("src"), digest.alias("md5"))
+    sizes = d.groupBy("src").agg(F.ceil(F.sqrt(F.count(F.lit(1)))).cast("long").alias("ranges"))
     # first 32 bits of the digest, cut into the source's number of equal ranges
-    d = d.join(F.broadcast(sizes), "__src").withColumn(
-        "__range", F.expr("(cast(conv(substring(__md5, 1, 8), 16, 10) as bigint) * __ranges) div 4294967296L"))
-    counts = d.groupBy("__src", "__range").agg(F.count(F.lit(1)).alias("__n"))
-    before = counts.select("__src", "__range", (F.sum("__n").over(
-        W.partitionBy("__src").orderBy("__range").rowsBetween(W.unboundedPreceding, -1))).alias("__before"))
-    ties = [F.xxhash64(*docs.columns)] if docs.columns else []
-    local = F.row_number().over(W.partitionBy("__src", "__range").orderBy("__md5", id_col, *ties)) - 1
-    return (d.join(before, ["__src", "__range"])
-            .withColumn("__rank", F.coalesce("__before", F.lit(0)) + local)
-            .drop("__md5", "__ranges", "__range", "__before"))
+    d = d.join(F.broadcast(sizes), "src").withColumn(
+        "range", F.expr("(cast(conv(substring(md5, 1, 8), 16, 10) as bigint) * ranges) div 4294967296L"))
+    counts = d.groupBy("src", "range").agg(F.count(F.lit(1)).alias("n"))
+    before = counts.select("src", "range", (F.sum("n").over(
+        W.partitionBy("src").orderBy("range").rowsBetween(W.unboundedPreceding, -1))).alias("before"))
+    local = F.row_number().over(W.partitionBy("src", "range").orderBy("md5", "id", F.xxhash64("row"))) - 1
+    return d.join(before, ["src", "range"]).select("row", "src", (F.coalesce("before", F.lit(0)) + local).cast("long").alias("rank"))
 
 
 def mix_sources(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id",
@@ -100,26 +99,23 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, id_col: str =
 
     ``weights``: rows (source, weight) with whole weights; a source without one, or with 0, gets the
     least share, one slot a period; default ``root_weights``.  The sizes, shares and period tables have one row a source or slot."""
-    docs = docs.drop(*ADDED)
+    docs = docs.drop(*[c for c in ADDED if c not in (id_col, source_col)])
+    source = F.col(f"`{source_col}`")
     if weights is None:
         weights = root_weights(docs, source_col)
     else:
-        there = docs.select(_source_key(F.col(source_col)).alias("k"), F.col(source_col).alias("source")).distinct()
+        there = docs.select(_source_key(source).alias("k"), source.alias("source")).distinct()
         given = weights.groupBy(_source_key(F.col("source")).alias("k")).agg(F.sum("weight").alias("weight"))
         weights = there.join(given, "k", "left").select("source", F.coalesce("weight", F.lit(0)).alias("weight"))
     schedule = one_period(whole_shares(weights, period))
     shares = schedule.select("src", "q", "period").distinct()
-    d = ranks_in_source(docs, id_col, source_col)
-    d = d.withColumn("__b", F.expr(f"__rank div {block_docs}"))
-    d = d.join(F.broadcast(shares), d["__src"] == shares["src"]).drop("src")
-    d = (d.withColumnRenamed("q", "source_share").withColumnRenamed("period", "period_slots")
-         .withColumn("__j", F.col("__b") % F.col("source_share") + 1))
-    turn = schedule.select(F.col("src").alias("__src"), F.col("j").alias("__j"), F.col("slot").alias("__slot"))
-    d = d.join(F.broadcast(turn), ["__src", "__j"])
-    return d.select(*docs.columns, "source_share", "period_slots", F.col("__rank").cast("long").alias("source_rank"),
-                    (F.col("__b") + 1).alias("block"),
-                    (F.expr("__b div source_share") * F.col("period_slots") + F.col("__slot")).alias("slot"),
-                    (F.col("__rank") % block_docs).cast("int").alias("in_block"))
+    d = ranks_in_source(docs, id_col, source_col).withColumn("b", F.expr(f"rank div {block_docs}"))
+    d = d.join(F.broadcast(shares), "src").withColumn("j", F.col("b") % F.col("q") + 1)
+    d = d.join(F.broadcast(schedule.select("src", "j", "slot")), ["src", "j"])
+    kept = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ADDED]
+    return d.select(*kept, F.col("q").alias("source_share"), F.col("period").alias("period_slots"), F.col("rank").alias("source_rank"),
+                    (F.col("b") + 1).alias("block"), (F.expr("b div q") * F.col("period") + F.col("slot")).alias("slot"),
+                    (F.col("rank") % block_docs).cast("int").alias("in_block"))
 
 
 def in_mixed_order(mixed: DataFrame) -> DataFrame:
