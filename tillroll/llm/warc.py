@@ -27,6 +27,7 @@ from __future__ import annotations
 import base64
 import bisect
 import hashlib
+import math
 import re
 import uuid
 import zlib
@@ -42,6 +43,7 @@ from tillroll.llm.common import new_folder, staged
 MIN_REVISIT_BYTES = 1000
 BLOCK_LINES = 512
 ARCHIVE_BYTES = 1 << 30   # a task's archive is closed and a new one begun beyond that
+TASK_BYTES, LEAST_TASK_BYTES = 128 << 20, 1 << 20  # archive bytes read back by a task
 READ_BYTES = 4 << 20      # neighbouring records are read together up to that
 LEVEL = 6
 DATE = "1970-01-01T00:00:00Z"  # the table has no capture times
@@ -286,7 +288,11 @@ def read_records(captures: DataFrame, folder: str, with_payload: bool = False) -
                 yield pa.RecordBatch.from_pydict({k: [r[k] for r in records] for k in kinds}, schema=schema)
                 i = j
 
-    ordered = (captures.select("archive", "offset", "length").repartitionByRange("archive", "offset")
+    # Tasks by the bytes that they will read: the captures themselves are small, and would be put into one task.
+    total = captures.agg(F.sum("length")).first()[0] or 0
+    cores = captures.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, math.ceil(total / TASK_BYTES), min(2 * cores, total // LEAST_TASK_BYTES))
+    ordered = (captures.select("archive", "offset", "length").repartitionByRange(tasks, "archive", "offset")
                .sortWithinPartitions("archive", "offset"))
     return ordered.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
                               + ", payload binary" * with_payload)
