@@ -26,3 +26,12 @@ def test_one_row_of_a_group_whatever_the_ids(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((str(r.doc_id), r.text) for r in C.drop_near_duplicates(spark, docs, SF).collect())
     assert got == sorted([("None", _text(1)), ("7", _text(3)), ("7", _text(4)), ("9", _text(2) + " more"), ("8", _text(5))])
+
+
+def test_stages_carry_columns_of_any_name(spark):
+    names = ["__row", "number", "row", "stats", "text_a", "keys", "a.b"]
+    docs = table(spark, "documents").select("*", *[F.lit(k).alias(n) for k, n in enumerate(names)])
+    kept = C.drop_near_duplicates(spark, docs.limit(50), SF)
+    assert kept.dtypes == docs.dtypes and kept.where("`__row` = 0 and number = 1 and `a.b` = 6").count() == kept.count() > 0
+    good = C.keep_quality(spark, docs, SF)
+    assert good.dtypes == docs.dtypes and good.where("row = 2 and stats = 3").count() == good.count() > 0
