@@ -37,12 +37,15 @@ def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row, that with the smallest id (null last), of each near-duplicate group of rows."""
-    rows = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")  # written once: row numbers stay
-    groups = near_dups.near_duplicates(rows, id_col="__row").select(F.col("doc_id").alias("__row"), "component_id")
-    ids = rows.select("__row", "doc_id", F.xxhash64("text").alias("text"))
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text", "__row")
-    first = groups.join(ids, "__row").groupBy("component_id").agg(F.min(order).alias("first"))
-    return rows.join(first.select(F.col("first.__row").alias("__row")), "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    packed = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = staged(docs.select(packed, F.monotonically_increasing_id().alias("number")), "rows", "zstd")  # written once: row numbers stay
+    texts = rows.select("number", F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"))
+    groups = near_dups.near_duplicates(texts.drop("doc_id"), id_col="number").select(F.col("doc_id").alias("number"), "component_id")
+    ids = texts.select("number", "doc_id", F.xxhash64("text").alias("text"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text", "number")
+    first = groups.join(ids, "number").groupBy("component_id").agg(F.min(order).alias("first"))
+    kept = rows.join(first.select(F.col("first.number").alias("number")), "number", "left_semi")
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
