@@ -309,8 +309,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     all_rows = staged(signatures(docs, id_col, text_col), "signatures")
     classes = all_rows.where("class is not null and doc_id is not null").groupBy("class")
     # one document a class; the first aggregate carries what the index needs, the other stays narrow
-    reps = staged(classes.agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"),
-                              F.first("s0").alias("s0"), F.first("s1").alias("s1"), F.first("s2").alias("s2")), "classes")
+    reps = staged_few(classes.agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"),
+                                  F.first("s0").alias("s0"), F.first("s1").alias("s1"), F.first("s2").alias("s2")), "classes", all_rows.count(), 50_000)
     facts = reps.select("id", "n_shingles", "s0", "s1", "s2")
     # a class is indexed by the row of its smallest id: ids are spread evenly, classes may be large
     keys = (all_rows.select("doc_id", "keys").join(reps.select("id"), F.col("doc_id") == F.col("id"))
@@ -333,7 +333,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     dealt = members.join(blocks, "home").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
         "home", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "id", "root")
-    near = staged(members_near(dealt.join(facts, "id")), "near")
+    near = members_near(dealt.join(facts, "id"))
     found = staged(tile_links(near.join(texts.withColumnRenamed("doc_id", "id").hint("merge"), "id")), "links")
     roots = labels.select(F.col("node").alias("id"), "root")
     joined = (found.join(roots.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a", "left")
