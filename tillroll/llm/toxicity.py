@@ -37,7 +37,7 @@ from tillroll.llm.rows import map_slices
 
 WIDTH = 1 << 17
 MAX_LABELLED_ROWS = 60_000   # for the learned lexicons
-MAX_TRAIN_ROWS = 40_000      # for the linear classifier
+MAX_TRAIN_ROWS = 30_000      # for the linear classifier
 BASE_RATE = 0.05
 THRESHOLD = 0.3
 MOST_OFF = 0.15               # correlation beyond the model of pairs that count as independent
@@ -176,10 +176,11 @@ def learned_words(d: DataFrame, labels: DataFrame, label_col: str, max_rows: int
     total = sum(n.values())
     if len(n) < 2:
         return [], n.get(1, 0) / total if total else BASE_RATE
-    # a bounded number of labels: they go to the texts, not the texts to them; a row a text where ids repeat
+    # a bounded number of labels: they go to the texts, not the texts to them; ids that repeat are thinned by their texts
     known = bounded_sample(known, F.lit(hash_limit(max_rows, total)), "doc_id", "y").drop("h")
     rows = d.join(F.broadcast(known), "doc_id")
-    rows = bounded_sample(rows, F.lit(hash_limit(max_rows, rows.select("doc_id").count())), "doc_id", "y", "text")
+    limit = hash_limit(max_rows, rows.select("doc_id").count())
+    rows = rows.where(F.shiftrightunsigned(F.xxhash64(F.lit(6), "doc_id", "y", "text"), 1) <= limit)
     toxic = {r["word"]: r["n"] for r in document_counts(rows.where("y = 1")).where(
         f"n >= {MIN_TOXIC_DOCS} or word is null").collect()}  # of a bounded sample's toxic part
     pos = toxic.pop(None, 0)
