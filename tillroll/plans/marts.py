@@ -411,7 +411,7 @@ def _refresh_daily(sales: DataFrame, out: str, versions: dict, months: list) ->
     month = F.trunc("purchase_date", "MM").alias("month_start")
     _refresh_by_month(lambda s, _: _by_month(daily_presence(s).select("*", month)), sales, out, PRESENCE, versions, months)
     presence = sales.sparkSession.read.parquet(f"{out.rstrip('/')}/{PRESENCE}")
-    _refresh_by_month(lambda s, of: daily_sales(s, presence.where(of)).select("*", month), sales, out, "daily_sales", versions, months)
+    _refresh_by_month(lambda s, of: _by_month(daily_sales(s, presence.where(of)).select("*", month)), sales, out, "daily_sales", versions, months)
 
 
 def _refresh_rfm(sales: DataFrame, out: str, path: str, versions: dict) -> None:
@@ -463,7 +463,7 @@ def refresh_marts(sales: DataFrame, out: str, names: list[str] | None = None,
         if name == "daily_sales":
             _refresh_daily(sales, out, versions, months or [])
         elif name == "product_monthly_sales":
-            _refresh_by_month(lambda s, _: product_monthly_sales(s), sales, out, name, versions, months or [])
+            _refresh_by_month(lambda s, _: _by_month(product_monthly_sales(s)), sales, out, name, versions, months or [])
         elif name == "customer_rfm":
             _refresh_rfm(sales, out, path, versions)
         else:
