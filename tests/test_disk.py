@@ -5,6 +5,7 @@ import os
 from pyspark.sql import functions as F
 from test_ingest import day_rec, land
 
+from tillroll import queries
 from tillroll.plans import ingest
 from tillroll.session import checkpoint_dir, freed_shuffles, in_parts, scratch, staged
 from tillroll.sources import batches, fixture
@@ -92,3 +93,15 @@ def test_sales_land_in_runs_as_they_do_at_once(spark, scratch, monkeypatch):
         got.append([sorted(map(str, x.collect())) for x in (
             records.select("batch_date", F.to_json("rec")), files.select("batch_date", "file_status"))])
     assert got[0] == got[1] and len(got[0][0]) == 235 and sum("broken" in x for x in got[0][1]) == 2  # of day 107 of the year
+
+
+def test_distinct_ids_are_counted_without_a_shuffle_of_ids(spark):
+    ids = [1, 2, 2, 63, 64, 64, 65, 10 ** 15, 10 ** 15 + 1]
+    sales = spark.createDataFrame([(i,) for i in ids], "sale_id bigint").select(
+        "sale_id", F.lit("2024-01-01").cast("date").alias("purchase_date"), F.lit(1).cast("smallint").alias("quantity"),
+        F.lit(2).cast("bigint").alias("client_id"), F.lit(3).cast("bigint").alias("product_id"), F.lit("1.50").cast("decimal(16,2)").alias("total_price"))
+    got = queries._loaded_totals(sales)
+    r = got.first()
+    assert (r.rows, r.ids, r.id_range, r.units, r.client_sum, r.product_sum, str(r.revenue)) == (9, 7, 10 ** 15 + 1, 9, 18, 27, "13.50")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "sale_id" in x]
