@@ -23,7 +23,7 @@ from tillroll.functions.numeric import (INT, as_int, avg_half_up, cents, int_div
                                         ratio_half_up, sqrt_half_up)
 from tillroll.operators.ranks import asc, cume_counts_many, desc, global_prefix
 from tillroll.schema import ABC_A, ABC_B, XYZ_MART_X, XYZ_MART_Y
-from tillroll.session import read_text, replace_text, staged
+from tillroll.session import CODEC, ROWS_AT_ONCE, freed_shuffles, in_parts, read_text, replace_text, scratch, staged
 
 D20 = "decimal(20,2)"
 
@@ -278,6 +278,18 @@ def product_variability(monthly: DataFrame) -> DataFrame:
                     "active_months", *_variability_columns())
 
 
+def months_at_once(df: DataFrame, month: Column) -> list[list]:
+    """The months of ``df`` in runs of about ROWS_AT_ONCE rows."""
+    counted = df.groupBy(month.alias("m")).agg(F.count(F.lit(1)).alias("n")).collect()  # calendar months
+    return in_parts({r.m: r.n for r in counted}, ROWS_AT_ONCE)
+
+
+def of_months(run: list) -> Column:
+    """The ``month_start`` is in the run."""
+    dated = F.col("month_start").isin([F.lit(m).cast("date") for m in run if m is not None])
+    return dated | F.col("month_start").isNull() if None in run else dated
+
+
 def product_abc_xyz(monthly: DataFrame, n_buckets: int | None = None) -> DataFrame:
     inside_all = monthly.crossJoin(F.broadcast(_month_bounds(monthly)))
     g = inside_all.groupBy("product_id").agg(
@@ -351,12 +363,15 @@ def _exists(spark, path: str) -> bool:
     return fs.exists(p)
 
 
-def replace_table(df: DataFrame, path: str, by: list[str] = ()) -> None:
-    """Write beside the table, then swap folders: readers keep the old one until the new one is whole."""
+def replace_table(df: DataFrame, path: str, by: list[str] = (), more: list[DataFrame] = ()) -> None:
+    """Write beside the table, then swap folders: readers keep the old one until the new one is whole.  ``more``: frames
+    that are written behind ``df``, one by one."""
     spark = df.sparkSession
     tag = uuid.uuid4().hex
     new, fs = _path(spark, f"{path}__new-{tag}")
-    df.write.partitionBy(*by).parquet(new.toString())
+    for part in [df, *more]:
+        with freed_shuffles(spark):
+            part.write.mode("append").option("compression", CODEC).partitionBy(*by).parquet(new.toString())
     here, _ = _path(spark, path)
     old, _ = _path(spark, f"{path}__old-{tag}")
     fs.mkdirs(here.getParent())
@@ -386,18 +401,30 @@ def _cover(spark, out: str, name: str, versions: dict) -> None:
 def _refresh_by_month(build, sales: DataFrame, out: str, name: str, versions: dict, months: list) -> None:
     """Rebuild the months with a date that was added or replaced since the mart was built (and ``months``);
     all of them where the mart or its coverage is missing or a date has gone.  ``build`` takes the sales of
-    some months and a filter of a table's ``month_start`` to them."""
+    some months and a filter of a table's ``month_start`` to them.  Of many sales a run of months is built at a time."""
     spark = sales.sparkSession
     path = f"{out.rstrip('/')}/{name}"
     covered = covered_versions(spark, out, name) if _exists(spark, path) else None
+
+    def sales_in(run):
+        rows = in_months(F.col("purchase_date"), [m for m in run if m is not None])
+        return sales.where(rows | F.col("purchase_date").isNull() if None in run else rows)
+
+    month = F.trunc("purchase_date", "MM")
     if covered is None or set(covered) - set(versions):
-        replace_table(build(sales, F.lit(True)), path, ["month_start"])
+        runs = months_at_once(sales, month)
+        if len(runs) < 2:
+            replace_table(build(sales, F.lit(True)), path, ["month_start"])
+        else:
+            first, *more = [build(sales_in(run), of_months(run)) for run in runs]
+            replace_table(first, path, ["month_start"], more)
     else:
-        stale = {d.replace(day=1) for d, v in versions.items() if covered.get(d) != v} | set(months)
-        if stale:
-            of_stale = F.col("month_start").isin([F.lit(m).cast("date") for m in sorted(stale)])
-            (build(sales.where(in_months(F.col("purchase_date"), stale)), of_stale).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("month_start").parquet(path))
+        stale = sorted({d.replace(day=1) for d, v in versions.items() if covered.get(d) != v} | set(months))
+        runs = months_at_once(sales_in(stale), month) if len(stale) > 1 else []
+        for run in runs if len(runs) > 1 else [stale] if stale else []:
+            with freed_shuffles(spark):
+                (build(sales_in(run), of_months(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC)
+                 .partitionBy("month_start").parquet(path))
     _cover(spark, out, name, versions)
 
 
@@ -460,13 +487,14 @@ def refresh_marts(sales: DataFrame, out: str, names: list[str] | None = None,
         if name not in wanted:
             continue
         path = f"{out.rstrip('/')}/{name}"
-        if name == "daily_sales":
-            _refresh_daily(sales, out, versions, months or [])
-        elif name == "product_monthly_sales":
-            _refresh_by_month(lambda s, _: _by_month(product_monthly_sales(s)), sales, out, name, versions, months or [])
-        elif name == "customer_rfm":
-            _refresh_rfm(sales, out, path, versions)
-        else:
-            replace_table(product_abc_xyz(spark.read.parquet(paths["product_monthly_sales"])), path)
+        with scratch(spark):
+            if name == "daily_sales":
+                _refresh_daily(sales, out, versions, months or [])
+            elif name == "product_monthly_sales":
+                _refresh_by_month(lambda s, _: _by_month(product_monthly_sales(s)), sales, out, name, versions, months or [])
+            elif name == "customer_rfm":
+                _refresh_rfm(sales, out, path, versions)
+            else:
+                replace_table(product_abc_xyz(spark.read.parquet(paths["product_monthly_sales"])), path)
         paths[name] = path
     return paths
