@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.numeric import INT, int_div
-from tillroll.session import staged
+from tillroll.session import staged, unstage
 
 ROWS_PER_BUCKET = 2_000_000
 MIN_BUCKETS = 8
@@ -82,6 +82,8 @@ def global_prefix(df: DataFrame, keys: list[Key], sum_cols: list[str] = (),
     if n is None:
         n = df.count()
     bucketed = range_buckets(df, keys, n, n_buckets)
+    if materialize:
+        unstage(df)  # the buckets hold its rows
 
     w = Window.partitionBy("_bucket").orderBy(*[k.sort_col() for k in keys])
     frame = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

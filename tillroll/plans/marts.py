@@ -23,7 +23,7 @@ from tillroll.functions.numeric import (INT, as_int, avg_half_up, cents, int_div
                                         ratio_half_up, sqrt_half_up)
 from tillroll.operators.ranks import asc, cume_counts_many, desc, global_prefix
 from tillroll.schema import ABC_A, ABC_B, XYZ_MART_X, XYZ_MART_Y
-from tillroll.session import CODEC, ROWS_AT_ONCE, freed_shuffles, in_parts, read_text, replace_text, scratch, staged
+from tillroll.session import CODEC, ROWS_AT_ONCE, freed_shuffles, in_parts, read_text, replace_text, scratch, staged, unstage
 
 D20 = "decimal(20,2)"
 
@@ -290,28 +290,35 @@ def of_months(run: list) -> Column:
     return dated | F.col("month_start").isNull() if None in run else dated
 
 
-def product_abc_xyz(monthly: DataFrame, n_buckets: int | None = None) -> DataFrame:
-    inside_all = monthly.crossJoin(F.broadcast(_month_bounds(monthly)))
-    g = inside_all.groupBy("product_id").agg(
-        F.sum("sales_count").cast("bigint").alias("sales_count"),
-        F.sum("units_sold").cast("bigint").alias("units_sold"),
-        F.sum("gross_revenue").cast(D20).alias("gross_revenue"),
-        F.sum("discount_amount").cast(D20).alias("discount_amount"),
-        F.sum("revenue").cast(D20).alias("revenue"),
-        *_variability_moments(monthly),
-    ).where(F.col("total_months") > 0)
-    metrics = g.select(
-        "product_id", "sales_count", "units_sold", "gross_revenue", "discount_amount", "revenue",
-        pct_half_up(F.col("discount_amount"), F.col("gross_revenue")).alias("weighted_discount_pct"),
-        F.col("total_months").cast("int").alias("total_months"), "active_months",
-        *_variability_columns(),
-    ).withColumn("variation_coefficient",
-                 ratio_half_up(cents(F.col("stddev_monthly_units")), cents(F.col("avg_monthly_units")),
-                               4, precision=12))
-
-    metrics = staged(metrics, "products")
+def _product_sums(monthly: DataFrame) -> DataFrame:
+    """Totals and moments by product.  All of them are sums, so the runs of months of a large mart are added to a staged
+    table of products one by one: what is shuffled is a run and the products, not the mart."""
+    sums = {"sales_count": "bigint", "units_sold": "bigint", "gross_revenue": D20, "discount_amount": D20, "revenue": D20,
+            "active_months": "int", "_sx": INT, "_sxx": INT}
+    bounds, runs, so_far = F.broadcast(_month_bounds(monthly)), months_at_once(monthly, F.col("month_start")), None
+    inside, units = F.col("month_start") <= F.col("_max_complete"), F.col("units_sold").cast(INT)
+    for i, run in enumerate(runs or [[]]):
+        some = monthly if len(runs) < 2 else monthly.where(of_months(run))
+        rows = some.crossJoin(bounds).select(
+            "product_id", *list(sums)[:5], F.when(inside, 1).otherwise(0).alias("active_months"),
+            F.when(inside, F.coalesce(units, F.lit(0))).otherwise(0).cast(INT).alias("_sx"),
+            F.when(inside, F.coalesce(units * units, F.lit(0))).otherwise(0).cast(INT).alias("_sxx"),
+            F.col("_n_months").alias("total_months"))
+        added = (rows if so_far is None else so_far.unionByName(rows)).groupBy("product_id").agg(
+            *[F.sum(c).cast(kind).alias(c) for c, kind in sums.items()], F.first("total_months").alias("total_months"))
+        if i + 1 < len(runs):
+            held = staged(added, "product-sums")
+            if so_far is not None:
+                unstage(so_far)
+            so_far = held
+    return added
+
+
+def _revenue_shares(monthly: DataFrame, n_buckets: int | None) -> tuple[DataFrame, int]:
+    """The products' totals, variability and shares of the revenue, and their number."""
+    with scratch(monthly.sparkSession, kept=("products",)):
+        metrics = staged(_product_metrics(monthly), "products")
     n = metrics.count()
-    # Both orders run over staged tables of known size.
     by_revenue = global_prefix(metrics, [desc("revenue"), asc("product_id")], ["revenue"], n_buckets,
                                materialize=False, n=n)
     shares = by_revenue.select(
@@ -321,7 +328,28 @@ def product_abc_xyz(monthly: DataFrame, n_buckets: int | None = None) -> DataFra
         ratio_half_up(cents(F.col("running_revenue")), cents(F.col("total_revenue")), 8, precision=12)
         .alias("cumulative_revenue_share"),
     )
-    by_cv = global_prefix(shares, [asc("variation_coefficient"), asc("product_id")], [], n_buckets, n=n)
+    return shares, n
+
+
+def _product_metrics(monthly: DataFrame) -> DataFrame:
+    g = _product_sums(monthly).where(F.col("total_months") > 0)
+    return g.select(
+        "product_id", "sales_count", "units_sold", "gross_revenue", "discount_amount", "revenue",
+        pct_half_up(F.col("discount_amount"), F.col("gross_revenue")).alias("weighted_discount_pct"),
+        F.col("total_months").cast("int").alias("total_months"), "active_months",
+        *_variability_columns(),
+    ).withColumn("variation_coefficient",
+                 ratio_half_up(cents(F.col("stddev_monthly_units")), cents(F.col("avg_monthly_units")),
+                               4, precision=12))
+
+
+def product_abc_xyz(monthly: DataFrame, n_buckets: int | None = None) -> DataFrame:
+    spark = monthly.sparkSession
+    with scratch(spark, kept=("ranked",)):
+        shares, n = _revenue_shares(monthly, n_buckets)
+        shares = staged(shares, "ranked")
+    by_cv = global_prefix(shares, [asc("variation_coefficient"), asc("product_id")], [], n_buckets, materialize=False, n=n)
+    unstage(shares)  # its rows lie in buckets now
     ranked = by_cv.withColumn("stability_percentile",
                               ratio_half_up(F.col("row_no"), F.col("n_rows"), 8, precision=12))
     abc = abc_class(F.col("cumulative_revenue_share"), Decimal(str(ABC_A)), Decimal(str(ABC_B)))
